@@ -333,24 +333,32 @@ def _as_declared(field) -> Column:
     return ordered.cast(field.dataType).alias(field.name)
 
 
-def _write_once(spark: SparkSession, sf_dir: str, table: str, derive, day_column: str) -> str:
+def write_once(spark: SparkSession, sf_dir: str, table: str, write) -> str:
+    """Path of a derived table in the shared folder; ``write(path)`` makes it on first use."""
     application = spark.sparkContext.applicationId
     key = (application, sf_dir, table)
     if key not in _written:
         folder = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
         path = f"{shared_folder(spark)}/{application}/{folder}/{table}"
-        rows = derive(spark, sf_dir).hint("rebalance", day_column)
-        rows.write.mode("overwrite").partitionBy(day_column).parquet(path)
+        write(path)
         _written[key] = path
     return _written[key]
 
 
+def _write_by_day(rows: DataFrame, day_column: str, path: str) -> None:
+    rows.hint("rebalance", day_column).write.mode("overwrite").partitionBy(day_column).parquet(path)
+
+
 def ga4_path(spark: SparkSession, sf_dir: str) -> str:
-    return _write_once(spark, sf_dir, "ga4_events", derive_ga4_events, "event_date")
+    return write_once(
+        spark, sf_dir, "ga4_events", lambda path: _write_by_day(derive_ga4_events(spark, sf_dir), "event_date", path)
+    )
 
 
 def ua_path(spark: SparkSession, sf_dir: str) -> str:
-    return _write_once(spark, sf_dir, "ga_sessions", derive_ua_sessions, "date")
+    return write_once(
+        spark, sf_dir, "ga_sessions", lambda path: _write_by_day(derive_ua_sessions(spark, sf_dir), "date", path)
+    )
 
 
 def ga4(spark: SparkSession, sf_dir: str, day=None) -> DataFrame:

@@ -31,7 +31,7 @@ def holds(condition: Column) -> Column:
 
 
 def as_bit(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
+    return F.when(condition, 1).otherwise(0).cast("long")
 
 
 def is_interaction(name: Column) -> Column:
