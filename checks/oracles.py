@@ -394,6 +394,7 @@ def _ua_hit_columns() -> dict[str, str]:
         "visitId": "visitId",
         "fullVisitorId": "fullVisitorId",
         **{name: f"hit.{path}" for name, path in sessions.HIT_FIELDS.items()},
+        **{name: f"hit.{sessions.HIT_FIELDS[same]}" for name, same in sessions.REPEATED_FIELDS.items()},
         **{name: _first_dimension(index) for name, index in sessions.HIT_DIMENSIONS.items()},
         **{
             name: _joined(f"hit.{array}", field, by, clean=False)
@@ -468,7 +469,6 @@ def all_oracles() -> dict[str, str]:
         "ga4_promos": _promotions(PROMOTION_LAYOUT),
         "ga4_promos_basic": _promotions([c for c in PROMOTION_LAYOUT if c != "date_5"]),
         "ua_hits": _ua_hits(*sessions.HIT_LAYOUT),
-        "ua_hits_strict": _ua_hits(*sessions.HIT_LAYOUT),
         "ua_visits": _ua_visits(*sessions.VISIT_LAYOUT),
         "ua_promotions": _ua(UA_PROMOTIONS),
         "scan_ga4_day": _ga4(

@@ -58,7 +58,6 @@ _on_events["ga4_products"] = products.products
 _on_events["ga4_promos"] = products.promotions
 _on_events["ga4_promos_basic"] = lambda events: products.promotions(events, with_date=False)
 _on_sessions["ua_hits"] = sessions.hits
-_on_sessions["ua_hits_strict"] = lambda rows: sessions.hits(rows, strict_fanout=True)
 _on_sessions["ua_visits"] = sessions.visits
 _on_sessions["ua_promotions"] = sessions.promotions
 

@@ -7,6 +7,8 @@ interpreted and walk the structs again for every key.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,3 +62,22 @@ def dimension(entries: Column, index: int) -> Column:
 def dimension_values(entries: Column, index: int) -> Column:
     """All values of the custom dimension ``index``, for callers that keep repeats."""
     return F.transform(F.filter(entries, lambda entry: entry["index"] == index), lambda entry: entry["value"])
+
+
+def dimension_choices(entries: Column, indexes: Sequence[int]) -> Column:
+    """Array of ways to read the dimensions: one per combination of the repeated ones.
+
+    Almost always there is exactly one, the entries themselves; only a row that repeats an index
+    pays for working out the combinations.
+    """
+    wanted = F.filter(entries, lambda entry: entry["index"].isin(*indexes))
+    nothing_chosen = F.array(F.slice(wanted, 1, 0))
+
+    def add(choices: Column, index: Column) -> Column:
+        matching = F.filter(wanted, lambda entry: entry["index"] == index)
+        longer = F.transform(choices, lambda chosen: F.transform(matching, lambda e: F.array_append(chosen, e)))
+        return F.flatten(longer)
+
+    combinations = F.reduce(F.array_distinct(wanted["index"]), nothing_chosen, add)
+    repeated = F.size(F.array_distinct(entries["index"])) < F.size(entries)
+    return F.when(repeated, combinations).otherwise(F.array(entries))

@@ -49,6 +49,7 @@ def hit_table(events: DataFrame, slice_micros: int = SLICE_MICROS, **visit_lowes
         "event_timestamp",
         "event_name",
         F.row_number().over(in_slice.orderBy("event_timestamp", "event_name")).alias("rank_in_slice"),
+        *[F.col(name).alias(f"own_{name}") for name in visit_lowest],
     ).withColumn("last_complete", F.max(F.when(is_complete(), F.col("rank_in_slice"))).over(in_slice))
 
     visit = Window.partitionBy("visitId")
@@ -78,7 +79,9 @@ def hit_table(events: DataFrame, slice_micros: int = SLICE_MICROS, **visit_lowes
         F.when(is_complete(), number).alias("hitNumber"),
         F.when(is_complete(), closes_visit).alias("is_exit"),
         "first_timestamp",
-        *visit_lowest,
+        # Always the visit's value.  Naming the event's own keeps it in both branches, so that they
+        # read one and the same shuffle of the distinct events instead of scanning twice.
+        *[F.coalesce(name, f"own_{name}").alias(name) for name in visit_lowest],
     )
 
 

@@ -131,50 +131,54 @@ def video_length() -> Column:
 
 
 def event_columns() -> dict[str, Column]:
-    """Every mart column that a single event determines."""
-    name = F.col("event_name")
+    """Mart columns read from the event's parameters, properties, items and device."""
     return {
         "product_id_14": F.col("stream_id"),
-        **{column: no_text() for column in ABSENT},
         **{column: event_text(key) for column, key in EVENT_TEXTS.items()},
         **{column: F.nullif(event_text(key), F.lit("")) for column, key in SECTION_TEXTS.items()},
         **{column: user_text(key) for column, key in USER_TEXTS.items()},
         **{column: joined(F.col("items"), field, by) for column, (field, by) in ITEM_TEXTS.items()},
         "language_26": F.upper(event_text("page_language")),
         "TV_Platforms_55": flags.tv_platform(F.col("device")),
-        "hit_type_59": flags.hit_type(name),
         "video_length_73": video_length(),
         "player_id_74": player_id(),
+    }
+
+
+def hit_columns() -> dict[str, Column]:
+    """Mart columns that follow from the hit's time, name and place in its visit."""
+    name, time = F.col(HIT_KEY)["event_name"], F.col(HIT_KEY)["event_timestamp"]
+    return {
+        **{column: no_text() for column in ABSENT},
+        "hit_type_59": flags.hit_type(name),
         "promoIsView": flags.is_promotion_view(name),
         "promoIsClick": flags.is_promotion_click(name),
         "hit_isInteraction_62": flags.is_interaction(name),
+        "hit_time_60": flags.seconds(time - F.col("first_timestamp")),
+        "hit_isExit_61": F.col("is_exit"),
+        "datedate": flags.utc_date(F.col("first_timestamp")),
     }
 
 
 def hits(events: DataFrame, full: bool = True) -> DataFrame:
     """The hits mart; ``full=False`` leaves out the content sections and the date.
 
-    ``hit_key`` stays in the row while duplicates are removed.  It adds nothing to a row's identity
-    (hit time and hit number already fix it) but lets the removal reuse the join's partitioning.
+    Duplicates are removed by ``hit_key`` and the event's columns: hit number, time and all that
+    follows from the name are fixed by that key, and removing on the columns of the join needs no
+    further shuffle.
     """
     layout = [c for c in LAYOUT if full or c not in ONLY_IN_FULL]
     visited = with_visits(events)
     columns = {name: column for name, column in event_columns().items() if name in layout}
     rows = visited.select(
-        "fullVisitorId",
         "visitId",
-        "event_timestamp",
         hit_key().alias(HIT_KEY),
+        "fullVisitorId",
         *[column.alias(name) for name, column in columns.items()],
     )
-    numbered = with_hits(rows, hit_table(visited)).withColumns(
-        {
-            "hit_time_60": flags.seconds(F.col("event_timestamp") - F.col("first_timestamp")),
-            "hit_isExit_61": F.col("is_exit"),
-            "datedate": flags.utc_date(F.col("first_timestamp")),
-        }
-    )
-    return numbered.select(HIT_KEY, *layout).distinct().select(*layout)
+    distinct = with_hits(rows, hit_table(visited)).distinct()
+    derived = hit_columns()
+    return distinct.select(*[derived[name].alias(name) if name in derived else F.col(name) for name in layout])
 
 
 def target_layout(mart: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.functions.lookups import dimension, dimension_values
+from hitloom.functions.lookups import dimension, dimension_choices, dimension_values
 from hitloom.functions.texts import joined
 
 # Output column -> custom dimension of the hit.
@@ -41,9 +41,6 @@ HIT_FIELDS = {
     "product_name_hostname_15": "page.hostname",
     "page_name_18": "page.pageTitle",
     "screen_name_19": "appInfo.screenName",
-    "Source_Property_Tracking_ID_20": "sourcePropertyInfo.sourcePropertyTrackingId",
-    "hostname_21": "page.hostname",
-    "Source_Property_Display_Name_22": "sourcePropertyInfo.sourcePropertyDisplayName",
     "event_category": "eventInfo.eventCategory",
     "event_action": "eventInfo.eventAction",
     "event_label_57": "eventInfo.eventLabel",
@@ -54,6 +51,12 @@ HIT_FIELDS = {
     "promoIsView": "promotionActionInfo.promoIsView",
     "promoIsClick": "promotionActionInfo.promoIsClick",
 }
+# Output column -> other output column it repeats.
+REPEATED_FIELDS = {
+    "Source_Property_Tracking_ID_20": "product_id_14",
+    "hostname_21": "product_name_hostname_15",
+    "Source_Property_Display_Name_22": "product_name_displayname_15",
+}
 # Output column -> (nested array, field, field it is ordered by).
 HIT_LISTS = {
     "promoId": ("promotion", "promoId", "promoId"),
@@ -177,30 +180,26 @@ def _field(parent: Column | None, path: str) -> Column:
     return parent
 
 
-def hits(sessions: DataFrame, strict_fanout: bool = False) -> DataFrame:
+def hits(sessions: DataFrame) -> DataFrame:
     """The hits mart, without duplicate rows.
 
-    A custom dimension given twice in one hit counts with its first value, or, with
-    ``strict_fanout``, multiplies the row.
+    A custom dimension given more than once in a hit gives a row per value.
     """
-    rows, hit = explode_hits(sessions), F.col("hit")
-    if strict_fanout:
-        for name, index in HIT_DIMENSIONS.items():
-            rows = explode_dimension(rows, hit["customDimensions"], name, index)
-        dimensions = {name: F.col(name) for name in HIT_DIMENSIONS}
-    else:
-        dimensions = {name: dimension(hit["customDimensions"], index) for name, index in HIT_DIMENSIONS.items()}
+    hit = F.col("hit")
+    dimensions = dimension_choices(hit["customDimensions"], list(HIT_DIMENSIONS.values()))
+    rows = explode_hits(sessions).select("*", F.explode(dimensions).alias("dimensions"))
     columns = {
         "visitId": F.col("visitId"),
         "fullVisitorId": F.col("fullVisitorId"),
         **{name: _field(hit, path) for name, path in HIT_FIELDS.items()},
-        **dimensions,
+        **{name: dimension(F.col("dimensions"), index) for name, index in HIT_DIMENSIONS.items()},
         **{
             name: joined(hit[array], field, by, drop_not_set=False)
             for name, (array, field, by) in HIT_LISTS.items()
         },
     }
-    return rows.select(*[columns[name].alias(name) for name in HIT_LAYOUT]).distinct()
+    distinct = rows.select(*[column.alias(name) for name, column in columns.items()]).distinct()
+    return distinct.select(*[F.col(REPEATED_FIELDS.get(name, name)).alias(name) for name in HIT_LAYOUT])
 
 
 def visits(sessions: DataFrame) -> DataFrame:
