@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,16 +41,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     return apply_settings(builder.getOrCreate())
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for tables written between steps: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may run without that setting; it then gets a temporary folder.
+    Only a local master may run without that setting; it then gets one temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="hitloom-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="hitloom-")
+    return _local_folders[application]
