@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hitloom.operators.visit_keys import HIT_KEY, hit_key
 
-SLICE_MICROS = 60_000_000
+SLICE_MICROS = 300_000_000
 BEFORE_ALL_SLICES = -(2**63)
 
 
@@ -41,9 +41,11 @@ def hit_table(events: DataFrame, slice_micros: int = SLICE_MICROS, **visit_lowes
     """
     time_slice = F.coalesce(F.expr(f"event_timestamp div {slice_micros}"), F.lit(BEFORE_ALL_SLICES))
     distinct = distinct_events(events, **visit_lowest).drop("copies").withColumn("slice", time_slice)
+    # Ranking and summing up both work on this partitioning and share its shuffle.
+    placed = distinct.repartition("visitId", "slice")
 
     in_slice = Window.partitionBy("visitId", "slice")
-    ranked = distinct.select(
+    ranked = placed.select(
         "visitId",
         "slice",
         "event_timestamp",
@@ -54,7 +56,7 @@ def hit_table(events: DataFrame, slice_micros: int = SLICE_MICROS, **visit_lowes
 
     visit = Window.partitionBy("visitId")
     slices = (
-        distinct.groupBy("visitId", "slice")
+        placed.groupBy("visitId", "slice")
         .agg(
             F.count(F.lit(1)).alias("events"),
             F.min("event_timestamp").alias("first_timestamp"),

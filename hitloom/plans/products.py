@@ -33,7 +33,7 @@ def products(events: DataFrame) -> DataFrame:
 
 def item_date():
     """Date of an event that has items, else NULL."""
-    return F.when(F.size("items") > 0, flags.event_date(F.col("event_date")))
+    return F.when(F.size(F.col("items")["promotion_id"]) > 0, flags.event_date(F.col("event_date")))
 
 
 def promotions(events: DataFrame, with_date: bool = True) -> DataFrame:

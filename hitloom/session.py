@@ -37,6 +37,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # A mart builds several hundred column expressions; recording a call site for each is slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     return apply_settings(builder.getOrCreate())
 
