@@ -10,9 +10,13 @@ import numpy as np
 #: A single blank between two characters that are not white space always starts a new pre-token of
 #: a byte-level BPE, so a text may be encoded word by word.
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
-_WIDE_BLANK = re.compile(r" \s|\s |^ | $")
 _LONGEST_CACHED = 64
 
+
+class _Unclean(Exception):
+    """A word of the plain split begins or ends with white space: the blank there is no border."""
+
+
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -22,7 +26,7 @@ class Encoder:
     The memory holds ``limit`` words at most and starts anew when it is full.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
@@ -34,28 +38,57 @@ class Encoder:
         self._limit = limit
         self._words: dict[str, bytes] = {}
 
-    def _fresh(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, self.dtype).tobytes() for one in found]
+        self._line_end = self._ids("\n")
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _learn(self, words: list[str], bordered: bool) -> None:
+        """Remember words that follow a blank: as lines of one text, cut at the ids of the line ends."""
+        lines = []
+        for word in words:
+            if not word or word[0].isspace() or word[-1].isspace():
+                if bordered:  # the end of the text
+                    continue
+                raise _Unclean
+            if len(word) <= _LONGEST_CACHED:
+                if "\n" in word:
+                    self._words[word] = self._ids(" " + word)
+                else:
+                    lines.append(word)
+        if lines:
+            together = "\n" + "\n".join([" " + word for word in lines]) + "\n"
+            ids = self._tokenizer.encode_batch_fast([together], add_special_tokens=False)[0].ids
+            ids = np.array(ids, self.dtype)
+            cuts = (np.flatnonzero(ids == np.frombuffer(self._line_end, self.dtype)[0]) * self.dtype.itemsize).tolist()
+            coded, skip = ids.tobytes(), self.dtype.itemsize
+            self._words.update(zip(lines, [coded[a + skip : b] for a, b in zip(cuts, cuts[1:])]))
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of one text; a missing text is taken as empty."""
         if not text:
             return np.empty(0, self.dtype)
-        first, *rest = _BLANK.split(text) if _WIDE_BLANK.search(text) else text.split(" ")
-        words = self._words
-        missing = [word for word in set(rest).difference(words) if len(word) <= _LONGEST_CACHED]
+        try:
+            coded = self._joined(text.split(" "))
+        except _Unclean:
+            coded = self._joined(_BLANK.split(text), bordered=True)
+        return np.frombuffer(coded, self.dtype)
+
+    def _joined(self, parts: list[str], bordered: bool = False) -> bytes:
+        first, *rest = parts
+        words, distinct = self._words, set(rest)
+        if rest and (not first or first[-1].isspace()):
+            raise _Unclean
+        missing = distinct.difference(words)
         if len(words) + len(missing) > self._limit:
             words.clear()
-            missing = [word for word in set(rest) if len(word) <= _LONGEST_CACHED]
+            missing = distinct
         if missing:
-            words.update(zip(missing, self._fresh([" " + word for word in missing])))
-        start = self._fresh([first])[0]
+            self._learn(list(missing), bordered)
         try:
-            return np.frombuffer(start + b"".join(map(words.__getitem__, rest)), self.dtype)
-        except KeyError:  # words too long to be remembered
-            parts = [words[w] if w in words else self._fresh([" " + w])[0] for w in rest]
-            return np.frombuffer(start + b"".join(parts), self.dtype)
+            return self._ids(first) + b"".join(map(words.__getitem__, rest))
+        except KeyError:  # words that are not remembered
+            return self._ids(first) + b"".join([words[w] if w in words else self._ids(" " + w) for w in rest])
 
 
 def encoder(path: str) -> Encoder:
