@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hitloom.llm import swap_packing, token_files
+from hitloom.llm import site_spread, subword_quality, swap_packing, templates, token_files
 from hitloom.llm.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,14 +28,32 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder, SEQUENCE_LENGTH)
 
 
+def op2_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return templates.contaminated(documents(spark, sf_dir), items).drop("text_hash")
+
+
+def op6_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return subword_quality.quality_scores(documents(spark, sf_dir), labels)
+
+
 def op7_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return swap_packing.pack(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), 0, SEQUENCE_LENGTH)
 
 
+def op9_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = site_spread.remove_boilerplate(documents(spark, sf_dir))
+    return cleaned.select("doc_id", "n_lines", "n_removed_lines", F.md5("text").alias("kept_md5"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
+        "op2_templates": op2_templates,
+        "op6_subword_quality": op6_subword_quality,
         "op7_swap_packing": op7_swap_packing,
+        "op9_site_spread": op9_site_spread,
     }
 
 
