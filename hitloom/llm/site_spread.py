@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hitloom.llm.workspace import Workspace
+
 #: Registers of a sketch as a power of two, and the part of the threshold that counts as near.
 SKETCH_BITS = 10
 NEAR = 0.2
@@ -25,26 +27,18 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _neighbourhoods(text: Column) -> Column:
-    """One struct per line: its hash, and a hash of the lines beside it."""
-    lines = _lines(text)
-    around = F.concat(F.array(F.lit("")), lines, F.array(F.lit("")))
-    return F.transform(
-        lines,
-        lambda line, i: F.struct(
-            F.xxhash64(line).alias("line"),
-            F.xxhash64(F.get(around, i), F.get(around, i + 2)).alias("around"),
-            (F.trim(line) == "").alias("blank"),
-        ),
-    )
-
-
 def line_occurrences(docs: DataFrame, text: str = "text", site: str = "source") -> DataFrame:
-    return (
-        docs.select(F.col(site).alias("site"), F.explode(_neighbourhoods(F.col(text))).alias("at"))
-        .select("site", "at.line", "at.around", "at.blank")
-        .where(~F.col("blank"))
+    """One row per line: the hashes of its text, of itself and of the lines beside it, and its site."""
+    split = docs.select(F.col(site).alias("site"), F.xxhash64(F.col(text)).alias("text_hash"), _lines(F.col(text)).alias("lines"))
+    beside = lambda i: F.coalesce(F.get("lines", i), F.lit(""))
+    at = lambda line, i: F.struct(
+        F.xxhash64(line).alias("line"),
+        F.xxhash64(beside(i - 1), beside(i + 1)).alias("around"),
+        (F.trim(line) == "").alias("blank"),
     )
+    # The outer form spares a second split of the text, which a test for empty arrays would need.
+    rows = split.select("site", "text_hash", F.explode_outer(F.transform("lines", at)).alias("at"))
+    return rows.select("site", "text_hash", "at.line", "at.around", "at.blank").where(~F.col("blank")).drop("blank")
 
 
 def boilerplate_lines(occurrences: DataFrame, min_sites: int, max_copied: float) -> DataFrame:
@@ -65,8 +59,8 @@ def boilerplate_lines(occurrences: DataFrame, min_sites: int, max_copied: float)
     near = spread.where(F.col("estimate") <= min_sites * (1 + NEAR)).select("line")
     exact = (
         occurrences.select("line", "site")
-        .join(near, "line", "left_semi")
         .distinct()
+        .join(near, "line", "left_semi")
         .groupBy("line")
         .agg(F.count("site").alias("n_sites"))
         .where(F.col("n_sites") >= min_sites)
@@ -79,11 +73,13 @@ def remove_boilerplate(
     docs: DataFrame, min_sites: int = 8, max_copied: float = 0.3, text: str = "text", site: str = "source"
 ) -> DataFrame:
     """The same rows and columns, with boilerplate lines taken out of the text, and two counts."""
-    found = boilerplate_lines(line_occurrences(docs, text, site), min_sites, max_copied)
-    key = F.xxhash64(F.col(text), F.length(text))
-    own = docs.select(key.alias("__text"), F.explode(F.transform(_lines(F.col(text)), lambda x: F.xxhash64(x))).alias("line"))
+    work = Workspace(docs.sparkSession, "spread")
+    occurrences = work.keep(line_occurrences(docs, text, site), "occurrences")
+    found = work.keep(boilerplate_lines(occurrences, min_sites, max_copied), "boilerplate")
     # Equal texts have equal lines, so a text's hash is key enough and repeated rows need no number.
-    bad = own.join(found, "line", "left_semi").groupBy("__text").agg(F.collect_set("line").alias("__bad"))
+    own = occurrences.select("text_hash", "line").distinct().join(found, "line", "left_semi")
+    bad = own.groupBy(F.col("text_hash").alias("__text")).agg(F.collect_set("line").alias("__bad"))
+    key = F.xxhash64(F.col(text))
     kept = F.filter(_lines(F.col(text)), lambda x: ~F.array_contains(F.col("__bad"), F.xxhash64(x)))
     cleaned = F.when(F.col("__bad").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(_lines(F.col(text))))
