@@ -5,9 +5,9 @@ number and names inside a sentence too; the rest is lower-cased without punctuat
 joined by hash.  Where one matches, the words behind equal placeholders are compared: a
 re-parameterised copy replaces each value by one other value throughout.
 
-The join goes by the longest words of a benchmark window: a document's words are looked up for the
-longest, its anchor, the second must stand in its place too, and only at the few places
-left is the window's template built and its hash compared.
+The join has two steps.  Each window has an anchor, its longest pair of neighbouring words; documents'
+pairs are looked up among the anchors.  Only at the few places found is the window's template built and
+its hash compared.  A window without such a pair is looked up by its longest word.
 
 Defined cases: missing and empty texts match nothing; an item with fewer words than a window is one
 window; repeated rows of either table are reported alike; equal windows within an item count once per
@@ -16,9 +16,13 @@ place; extra columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hitloom.llm.workspace import Workspace
+
 # --- fixed values: units that make a number a quantity ----------------------------------------------
 UNITS = (
     "mm cm m km mg g kg t ml cl l s sec secs second seconds min mins minute minutes h hour hours day days "
@@ -64,73 +68,80 @@ def _has_slot(word: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame, window: int, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """Every window of every item, with its anchor, the anchor's place and the window's size."""
+    """Every window of every item: its words and hash, its anchor's key and place, and the anchor's words."""
     own = items.select(F.col(item_id).alias("item_id"), raw_words(F.col(text)).alias("raw"))
     own = own.where((F.size("raw") > 0) & (F.element_at("raw", 1) != ""))
     size = F.least(F.size("raw"), F.lit(window))
     cut = own.select("item_id", "raw", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("raw") - size)).alias("at"))
     parts = cut.select("item_id", "at", "size", F.slice("raw", F.col("at") + 1, F.col("size")).alias("item_raw"))
     parts = parts.withColumn("part", template(F.col("item_raw")))
-    # The first word of a window is never a name or unit, so there always is an anchor.
-    places = F.transform("part", lambda w, i: F.struct(F.length(w).alias("n"), w.alias("w"), i.alias("i")))
-    ranked = F.sort_array(F.filter(places, lambda x: ~x["w"].rlike(f"[{UNIT}{NAME}]")), asc=False)
-    parts = parts.withColumn("ranked", ranked)
+    # Names and units depend on their neighbours and can't be looked up; a window's first word is neither.
+    fixed = lambda w: ~w.rlike(f"[{UNIT}{NAME}]")
+    place = lambda w, beside, i: F.struct(
+        F.coalesce(fixed(beside), F.lit(False)).alias("pair"),
+        (F.length(w) + F.coalesce(F.length(beside), F.lit(0))).alias("n"),
+        i.alias("i"),
+        F.when(F.coalesce(fixed(beside), F.lit(False)), F.xxhash64(w, beside)).otherwise(F.xxhash64(w)).alias("key"),
+    )
+    places = F.transform("part", lambda w, i: F.when(fixed(w), place(w, F.get("part", i + 1), i)))
+    parts = parts.withColumn("anchor", F.array_max(F.filter(places, lambda x: x.isNotNull())))
     return parts.select(
-        "item_id",
-        "at",
-        "size",
-        "item_raw",
-        "part",
-        F.xxhash64("part").alias("hash"),
-        F.col("ranked")[0]["w"].alias("anchor"),
-        F.col("ranked")[0]["i"].alias("shift"),
-        F.get("ranked", F.lit(1))["w"].alias("second"),
-        (F.get("ranked", F.lit(1))["i"] - F.col("ranked")[0]["i"]).alias("beside"),
+        "item_id", "at", "size", "item_raw", "part", F.xxhash64("part").alias("hash"), "anchor.key", "anchor.pair", F.col("anchor.i").alias("shift")
     )
 
 
-def matches(docs: DataFrame, items: DataFrame, window: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document, item and pair of equal template windows, with the words of both."""
-    windows = benchmark_windows(items, window)
+def anchored_places(docs: DataFrame, windows: DataFrame, pair: bool) -> DataFrame:
+    """Where windows may start in texts, by their anchors: text_hash, item_id, at, start."""
+    words = docs.select(F.xxhash64("text").alias("text_hash"), raw_words(F.col("text")).alias("words"))
+    after = F.slice("words", 2, F.greatest(F.size("words"), F.lit(1)))
+    # The outer form spares a second split of the text, which a test for empty arrays would need; the rows
+    # made here hold two words, never the text's whole array.
+    rows = words.select("text_hash", F.posexplode_outer(F.arrays_zip(F.col("words").alias("w"), after.alias("beside"))).alias("pos", "two"))
+    key = [_anchor_form(F.col("two.w"))] + [_anchor_form(F.col("two.beside"))] * pair
+    if pair:
+        rows = rows.where(F.col("two.beside").isNotNull())
+    small = windows.select("item_id", "at", "shift", "key")
+    found = rows.select("text_hash", "pos", F.xxhash64(*key).alias("key")).join(F.broadcast(small), "key")
+    return found.select("text_hash", "item_id", "at", (F.col("pos") - F.col("shift")).alias("start")).where(F.col("start") >= 0)
+
+
+def matches(docs: DataFrame, items: DataFrame, window: int, work: Workspace) -> DataFrame:
+    """One row per text, item and pair of equal template windows, with the words of both."""
+    windows = work.keep(benchmark_windows(items, window), "windows")
     blocks = max(1, -(-windows.count() // WINDOWS_PER_BLOCK))
-    words = docs.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), raw_words(F.col(text)).alias("words")
-    )
-    # The outer form spares a second split of the text, which a test for empty arrays would need.
-    placed = words.select("doc_id", "text_hash", "words", F.posexplode_outer("words").alias("pos", "word"))
-    looked_up = placed.withColumn("anchor", _anchor_form(F.col("word")))
-    found = None
-    for block in range(blocks):
-        part = windows.where(F.pmod(F.xxhash64("item_id", "at"), F.lit(blocks)) == block)
-        start = F.col("pos") - F.col("shift")
-        fits = (start >= 0) & (start + F.col("size") <= F.size("words"))
-        beside = F.get("words", F.col("pos") + F.col("beside"))
-        second = F.col("second").isNull() | (_anchor_form(beside) == F.col("second"))
-        hit = looked_up.join(F.broadcast(part), "anchor").where(fits & second)
-        hit = hit.withColumn("doc_raw", F.slice("words", start + 1, F.col("size"))).withColumn("doc_at", start)
-        hit = hit.where(F.xxhash64(template(F.col("doc_raw"))) == F.col("hash"))
-        hit = hit.select("doc_id", "text_hash", "item_id", "at", "doc_at", "part", "item_raw", "doc_raw")
-        found = hit if found is None else found.unionByName(hit)
-    return found
+    parts = []
+    for pair in (True, False):
+        of_kind = windows.where(F.col("pair") == pair)
+        if not pair and of_kind.isEmpty():
+            continue
+        for block in range(blocks):
+            part = of_kind.where(F.pmod(F.xxhash64("item_id", "at"), F.lit(blocks)) == block)
+            parts.append(anchored_places(docs, part, pair))
+    places = work.keep(reduce(DataFrame.unionByName, parts).distinct(), "places")
+    told = places.join(F.broadcast(windows) if blocks == 1 else windows, ["item_id", "at"])
+    # As many as the text has places of anchors.
+    wanted = told.groupBy("text_hash").agg(F.collect_list(F.struct("item_id", "at", "start", "size", "hash", "part", "item_raw")).alias("places"))
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text")
+    asked = texts.join(places.select("text_hash").distinct(), "text_hash", "left_semi").dropDuplicates(["text_hash"])
+    both = asked.join(wanted, "text_hash").select("text_hash", "places", raw_words(F.col("text")).alias("words"))
+    inside = F.filter("places", lambda p: p["start"] + p["size"] <= F.size("words"))
+    slot = lambda p: p.withField("doc_raw", F.slice("words", p["start"] + 1, p["size"]))
+    equal = F.filter(F.transform(inside, slot), lambda p: F.xxhash64(template(p["doc_raw"])) == p["hash"])
+    return both.select("text_hash", F.explode(equal).alias("p")).select("text_hash", "p.item_id", "p.at", "p.start", "p.part", "p.item_raw", "p.doc_raw")
 
 
 def contaminated(
-    docs: DataFrame,
-    items: DataFrame,
-    window: int = 8,
-    min_share: float = 0.25,
-    min_consistency: float = 0.8,
-    doc_id: str = "doc_id",
-    text: str = "text",
+    docs: DataFrame, items: DataFrame, window: int = 8, min_share: float = 0.25, min_consistency: float = 0.8
 ) -> DataFrame:
     """Documents with benchmark items in them: a row per document and item.
 
     ``share`` is the part of the item's windows that occur, ``consistency`` the part of its slots
     whose value stands for one value of the item only.
     """
-    # A text with very many equal windows repeats them; each place of the item counts once.
-    found = matches(docs, items, window, doc_id, text).dropDuplicates(["doc_id", "text_hash", "item_id", "at", "doc_at"])
-    # Equal texts have equal slots, so repeated rows don't change these parts.
+    work = Workspace(docs.sparkSession, "templates")
+    docs = docs.select("doc_id", "text")
+    items = items.select("item_id", "text")
+    found = work.keep(matches(docs, items, window, work), "matches")
     key = ("text_hash", "item_id")
     slots = (
         found.select(*key, F.explode(F.arrays_zip("part", "item_raw", "doc_raw")).alias("slot"))
@@ -142,14 +153,13 @@ def contaminated(
         .groupBy(*key)
         .agg((F.sum("agree") / F.sum("n")).alias("consistency"))
     )
-    counted = found.groupBy("doc_id", *key).agg(F.count_distinct("at").alias("matched"))
-    sizes = items.select(F.col("item_id"), F.size(raw_words(F.col("text"))).alias("n_words")).distinct()
+    counted = found.groupBy(*key).agg(F.count_distinct("at").alias("matched"))
+    sizes = items.select("item_id", F.size(raw_words(F.col("text"))).alias("n_words")).groupBy("item_id").agg(F.max("n_words").alias("n_words"))
     sizes = sizes.select("item_id", F.greatest(F.col("n_words") - window + 1, F.lit(1)).alias("n_windows"))
-    return (
+    judged = (
         counted.join(slots, list(key), "left")
         .join(sizes, "item_id")
         .select(
-            "doc_id",
             "text_hash",
             "item_id",
             "matched",
@@ -159,3 +169,5 @@ def contaminated(
         )
         .where((F.col("share") >= min_share) & (F.col("consistency") >= min_consistency))
     )
+    judged = work.keep(judged, "judged")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash")).join(judged, "text_hash")
