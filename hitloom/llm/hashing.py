@@ -61,18 +61,32 @@ def word_spans(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1
 
 
+_UNSTEP = np.uint64(pow(int(_STEP), -1, 1 << 64))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    powers = np.full(n, base, np.uint64)
+    powers[:1] = 1
+    return np.multiply.accumulate(powers)
+
+
+def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of bytes weighted by powers of a step, and the inverse powers."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _powers(_STEP, len(data)), out=sums[1:])
+    return sums, _powers(_UNSTEP, len(data) + 1)
+
+
+def ranges_hash(sums: np.ndarray, inverse: np.ndarray, starts: np.ndarray, sizes: np.ndarray | int) -> np.ndarray:
+    """Hashes of ranges of bytes; the inverse power of their start makes equal ranges equal anywhere."""
+    return mix((sums[starts + sizes] - sums[starts]) * inverse[starts] ^ np.asarray(sizes).astype(np.uint64))
+
+
 def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash per word, from sums of its bytes weighted by powers of a step."""
+    """A hash per word."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    n = len(text)
-    powers = np.full(n + 1, _STEP, np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[text] * powers[:n], out=sums[1:])
-    # Shifting all words to the power of the array's end makes equal words equal.
-    return mix((sums[ends] - sums[starts]) * powers[n - ends] ^ (ends - starts).astype(np.uint64))
+    return ranges_hash(*prefix_sums(text), starts, ends - starts)
 
 
 def char_ngrams(text: np.ndarray, sizes: range) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import site_spread, subword_quality, swap_packing, templates, token_files
+from hitloom.llm import cover_dedup, disclosure, site_spread, subword_quality, swap_packing, templates, token_files, toxicity
 from hitloom.llm.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,19 @@ def op2_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.contaminated(documents(spark, sf_dir), items).drop("text_hash")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.with_probabilities(docs, chain)
+    return scored.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
+def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.find_spans(documents(spark, sf_dir))
+    counts = [f"n_{kind}" for kind in disclosure.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op6_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return subword_quality.quality_scores(documents(spark, sf_dir), labels)
@@ -42,6 +55,10 @@ def op7_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return swap_packing.pack(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), 0, SEQUENCE_LENGTH)
 
 
+def op8_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_dedup.deduplicate(documents(spark, sf_dir))
+
+
 def op9_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = site_spread.remove_boilerplate(documents(spark, sf_dir))
     return cleaned.select("doc_id", "n_lines", "n_removed_lines", F.md5("text").alias("kept_md5"))
@@ -51,8 +68,11 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
         "op2_templates": op2_templates,
+        "op3_toxicity": op3_toxicity,
+        "op4_disclosure": op4_disclosure,
         "op6_subword_quality": op6_subword_quality,
         "op7_swap_packing": op7_swap_packing,
+        "op8_cover_dedup": op8_cover_dedup,
         "op9_site_spread": op9_site_spread,
     }
 
