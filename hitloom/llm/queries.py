@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import cover_dedup, disclosure, site_spread, subword_quality, swap_packing, templates, token_files, toxicity
+from hitloom.llm import (
+    cover_dedup,
+    disclosure,
+    metric_join,
+    projections,
+    site_spread,
+    subword_quality,
+    swap_packing,
+    templates,
+    token_files,
+    toxicity,
+)
 from hitloom.llm.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +57,11 @@ def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op5_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return projections.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op6_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return subword_quality.quality_scores(documents(spark, sf_dir), labels)
@@ -64,16 +80,23 @@ def op9_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed_lines", F.md5("text").alias("kept_md5"))
 
 
+def op10_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = metric_join.components(documents(spark, sf_dir), metric_join.Similarity(words=3, percent=90))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
         "op2_templates": op2_templates,
         "op3_toxicity": op3_toxicity,
         "op4_disclosure": op4_disclosure,
+        "op5_projections": op5_projections,
         "op6_subword_quality": op6_subword_quality,
         "op7_swap_packing": op7_swap_packing,
         "op8_cover_dedup": op8_cover_dedup,
         "op9_site_spread": op9_site_spread,
+        "op10_metric_join": op10_metric_join,
     }
 
 
