@@ -171,3 +171,10 @@ def contaminated(
     )
     judged = work.keep(judged, "judged")
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash")).join(judged, "text_hash")
+
+
+def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows without benchmark items, with all their columns."""
+    found = contaminated(docs, items).select(F.col("text_hash").alias("__text")).distinct()
+    keyed = docs.withColumn("__text", F.xxhash64("text"))
+    return keyed.join(found, "__text", "left_anti").select(docs.columns)

@@ -234,3 +234,9 @@ def with_probabilities(docs: DataFrame, chain: Chain, text: str = "text") -> Dat
 
     schema = T.StructType([*docs.schema.fields, *[T.StructField(name, T.DoubleType()) for name in added]])
     return docs.mapInArrow(apply, schema)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows that the last category of the default chain does not mark, with all their columns."""
+    chain = train(docs.select("doc_id", "text"), labels)
+    return with_probabilities(docs, chain).where(F.col(f"p_{chain.names[-1]}") < threshold).select(docs.columns)
