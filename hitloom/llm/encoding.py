@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -11,6 +12,7 @@ import numpy as np
 #: a byte-level BPE, so a text may be encoded word by word.
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 _LONGEST_CACHED = 64
+_LATIN_END = "\u0250"
 
 
 class _Unclean(Exception):
@@ -23,7 +25,8 @@ _encoders: dict[str, "Encoder"] = {}
 class Encoder:
     """Ids of texts, remembering the ids of words.
 
-    The memory holds ``limit`` words at most and starts anew when it is full.
+    The memory holds ``limit`` words at most; when it is full, only words seen in every eighth chunk of
+    texts since the last time are kept.
     """
 
     def __init__(self, path: str, limit: int = 800_000):
@@ -38,57 +41,107 @@ class Encoder:
         self._limit = limit
         self._words: dict[str, bytes] = {}
 
-        self._line_end = self._ids("\n")
+        self._firsts: dict[str, bytes] = {}
+        self._marks = {mark: self._ids(mark) for mark in ",.\n"}
+        self._seen: set[str] = set()
+        self._chunks = 0
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def _lines(self, words: list[str], before: str) -> list[bytes]:
+        """Ids of words without line ends: encoded as lines of one text, cut at the ids of the line ends."""
+        if not words:
+            return []
+        together = "\n" + "\n".join([before + word for word in words]) + "\n"
+        ids = self._tokenizer.encode_batch_fast([together], add_special_tokens=False)[0].ids
+        ids = np.array(ids, self.dtype)
+        cuts = np.flatnonzero(ids == np.frombuffer(self._marks["\n"], self.dtype)[0]) * self.dtype.itemsize
+        coded, skip, cuts = ids.tobytes(), self.dtype.itemsize, cuts.tolist()
+        return [coded[a + skip : b] for a, b in zip(cuts, cuts[1:])]
+
+    def _remember(self, known: dict[str, bytes], words: set[str], before: str) -> None:
+        """Add words to ``known``; a comma or stop after letters is a pre-token of its own."""
+        marked = {w for w in words if w[-1] in ",." and w[:-1].isalpha() and max(w) < _LATIN_END}
+        plain = list((words - marked | {w[:-1] for w in marked}).difference(known))
+        known.update(zip(plain, self._lines(plain, before)))
+        known.update([(w, known[w[:-1]] + self._marks[w[-1]]) for w in marked])
+
     def _learn(self, words: list[str], bordered: bool) -> None:
-        """Remember words that follow a blank: as lines of one text, cut at the ids of the line ends."""
-        lines = []
+        """Remember words that follow a blank."""
+        spaced, firsts, broken = set(), set(), []
         for word in words:
             if not word or word[0].isspace() or word[-1].isspace():
                 if bordered:  # the end of the text
                     continue
                 raise _Unclean
-            if len(word) <= _LONGEST_CACHED:
-                if "\n" in word:
-                    self._words[word] = self._ids(" " + word)
-                else:
-                    lines.append(word)
-        if lines:
-            together = "\n" + "\n".join([" " + word for word in lines]) + "\n"
-            ids = self._tokenizer.encode_batch_fast([together], add_special_tokens=False)[0].ids
-            ids = np.array(ids, self.dtype)
-            cuts = (np.flatnonzero(ids == np.frombuffer(self._line_end, self.dtype)[0]) * self.dtype.itemsize).tolist()
-            coded, skip = ids.tobytes(), self.dtype.itemsize
-            self._words.update(zip(lines, [coded[a + skip : b] for a, b in zip(cuts, cuts[1:])]))
+            if len(word) > _LONGEST_CACHED:
+                continue
+            if "\n" not in word:
+                spaced.add(word)
+                continue
+            head, _, rest = word.partition("\n")
+            if "\n" in rest or rest[0].isspace() or head[-1].isspace():
+                self._words[word] = self._ids(" " + word)
+            else:  # a single line end is a pre-token of its own
+                broken.append((word, head, rest))
+                spaced.add(head)
+                firsts.add(rest)
+        self._remember(self._words, spaced.difference(self._words), " ")
+        self._remember(self._firsts, firsts.difference(self._firsts), "")
+        end = self._marks["\n"]
+        self._words.update([(word, self._words[head] + end + self._firsts[rest]) for word, head, rest in broken])
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of one text; a missing text is taken as empty."""
-        if not text:
-            return np.empty(0, self.dtype)
+        return self._coded([text or ""])[0]
+
+    def encode_many(self, texts: list[str | None], together: int = 64) -> Iterator[np.ndarray]:
+        """The ids of each text; new words of ``together`` texts are learned at once."""
+        for at in range(0, len(texts), together):
+            yield from self._coded([text or "" for text in texts[at : at + together]])
+
+    def _coded(self, texts: list[str]) -> list[np.ndarray]:
         try:
-            coded = self._joined(text.split(" "))
+            coded = self._joined([text.split(" ") for text in texts])
         except _Unclean:
-            coded = self._joined(_BLANK.split(text), bordered=True)
-        return np.frombuffer(coded, self.dtype)
-
-    def _joined(self, parts: list[str], bordered: bool = False) -> bytes:
-        first, *rest = parts
-        words, distinct = self._words, set(rest)
-        if rest and (not first or first[-1].isspace()):
+            if len(texts) > 1:
+                return [self._coded([text])[0] for text in texts]
+            coded = self._joined([_BLANK.split(texts[0])], bordered=True)
+        return [np.frombuffer(one, self.dtype) for one in coded]
+
+    def _first(self, word: str) -> bytes:
+        return self._firsts[word] if word in self._firsts else self._ids(word)
+
+    def _joined(self, texts: list[list[str]], bordered: bool = False) -> list[bytes]:
+        firsts = [parts[0] for parts in texts]
+        rests = [parts[1:] for parts in texts]
+        if any(rest and (not first or first[-1].isspace()) for first, rest in zip(firsts, rests)):
             raise _Unclean
+        words, distinct = self._words, set().union(*rests)
         missing = distinct.difference(words)
-        if len(words) + len(missing) > self._limit:
+        self._chunks += 1
+        if self._chunks % 8 == 0:
+            self._seen |= distinct
+        if len(words) + len(missing) > self._limit or len(self._firsts) > self._limit:
+            frequent = self._seen if 2 * len(self._seen) < self._limit else set()
+            kept = {word: words[word] for word in frequent if word in words}
             words.clear()
-            missing = distinct
+            words.update(kept)
+            self._firsts.clear()
+            self._seen = set()
+            missing = distinct.difference(words)
         if missing:
             self._learn(list(missing), bordered)
+        short = {w for w in firsts if w and len(w) <= _LONGEST_CACHED and not any(map(str.isspace, w))}
+        self._remember(self._firsts, short.difference(self._firsts), "")
         try:
-            return self._ids(first) + b"".join(map(words.__getitem__, rest))
+            return [self._first(first) + b"".join(map(words.__getitem__, rest)) for first, rest in zip(firsts, rests)]
         except KeyError:  # words that are not remembered
-            return self._ids(first) + b"".join([words[w] if w in words else self._ids(" " + w) for w in rest])
+            return [
+                self._first(first) + b"".join([words[w] if w in words else self._ids(" " + w) for w in rest])
+                for first, rest in zip(firsts, rests)
+            ]
 
 
 def encoder(path: str) -> Encoder:

@@ -39,8 +39,9 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: in
         end = np.array([end_id], "<u4")
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                ids = np.concatenate([encode.encode(text.as_py()).astype("<u4"), end])
+            coded = encode.encode_many(batch.column(2).to_pylist())
+            for doc_id, row, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), coded):
+                ids = np.concatenate([ids.astype("<u4"), end])
                 first = len(ids) - (len(ids) - 1) // capacity * capacity
                 starts = [0, *range(first, len(ids), capacity)]
                 for piece, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):

@@ -117,12 +117,13 @@ def write_token_files(
         end = np.array([end_id], encode.dtype)
         doc_ids, lengths = [], []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            coded = encode.encode_many(batch.column(1).to_pylist())
+            for doc_id, ids in zip(batch.column(0).to_pylist(), coded):
                 if writer is None:
                     store.create_dir(place, recursive=True)
                     sink = store.open_output_stream(f"{name}.{attempt}.tokens")
                     writer = _ShardWriter(sink, sequence_length, rows_per_batch, encode.dtype)
-                ids = np.concatenate([encode.encode(text.as_py()), end])
+                ids = np.concatenate([ids, end])
                 writer.add(ids)
                 doc_ids.append(doc_id)
                 lengths.append(len(ids))
