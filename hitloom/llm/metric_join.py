@@ -37,9 +37,11 @@ from hitloom.llm.components import connected_components
 from hitloom.llm.workspace import Workspace, ship_code, shuffle_width
 
 BINS = 64
-#: Points and bytes of text that one task joins at once; shingles listed as common.
-REGION_POINTS = 1000
-REGION_BYTES = 16 << 20
+#: Points and bytes of text that one task joins at once, points of a block of a larger region; shingles
+#: listed as common.
+REGION_POINTS = 3000
+REGION_BYTES = 32 << 20
+BLOCK_POINTS = 2000
 COMMON_LISTED = 20_000
 TOKENS_PER_BUCKET = 400_000
 _TOKEN = np.dtype([("token", "<u8"), ("point", "<i8")])
@@ -318,52 +320,54 @@ def _join_regions(
     payload: list[str],
     large: DataFrame,
     join_region: Callable[[pa.Table], list[tuple[int, int]]],
-    link_rows: Callable[[pa.RecordBatch, str], np.ndarray],
+    join_blocks: Callable[[pa.Table, pa.Table], list[tuple[int, int]]],
     work: Workspace,
     name: str,
 ) -> DataFrame:
-    """Links of all regions.  ``large`` has the regions to be dealt out; ``link_rows`` tests pairs of rows."""
+    """Links of all regions.  ``large`` has the regions to be dealt out; ``join_blocks`` compares two blocks of one."""
     spark = members.sparkSession
-    width = shuffle_width(spark)
     columns = ["region", "point", *payload]
     small = members.join(large, "region", "left_anti").select(*columns)
-    bucket = F.pmod(F.xxhash64("region"), F.lit(8 * width)).alias("bucket")
+    bucket = F.pmod(F.xxhash64("region"), F.lit(8 * shuffle_width(spark))).alias("bucket")
     links = work.keep(small.groupBy(bucket).applyInArrow(_by_region(join_region), "a long, b long"), f"{name}-small")
     if large.isEmpty():
         return links
-    dealt = work.keep(members.join(large, "region").select(*columns).repartition(width, "point"), f"{name}-large")
-    theirs = [F.col(c).alias(f"other_{c}") for c in ("point", *payload)]
+    dealt = work.keep(members.join(large, "region").select(*columns), f"{name}-large")
 
-    def test(pairs: DataFrame) -> DataFrame:
-        def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                good = pa.array(link_rows(batch, "other_"))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("point").filter(good), batch.column("other_point").filter(good)], names=["a", "b"]
-                )
+    def blocks(frame: DataFrame, size: int, number: str) -> DataFrame:
+        return frame.groupBy("region").agg(F.ceil(F.count("*") / size).cast("long").alias(number))
 
-        return pairs.mapInArrow(apply, "a long, b long")
+    def cross(asked: DataFrame, step: str) -> DataFrame:
+        """Links between the points asked for and all points of their regions, a block with a block."""
+        many = blocks(dealt, BLOCK_POINTS, "blocks").join(blocks(asked, BLOCK_POINTS // 4, "chunks"), "region")
+        many = F.broadcast(work.keep(many, f"{name}-{step}-blocks"))
+        place = lambda n: F.pmod(F.xxhash64("point"), n)
+        each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        ours = dealt.join(many, "region").select(*columns, place(F.col("blocks")).alias("block"), each("chunks").alias("chunk"))
+        theirs = asked.join(many, "region").select(*columns, each("blocks").alias("block"), place(F.col("chunks")).alias("chunk"))
+        keys = ("region", "block", "chunk")
+
+        def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+            found = join_blocks(left, right) if left.num_rows and right.num_rows else []
+            a, b = left.column("point").to_pylist(), right.column("point").to_pylist()
+            return pa.table([pa.array([a[i] for i, _ in found], pa.int64()), pa.array([b[j] for _, j in found], pa.int64())], names=["a", "b"])
+
+        return work.keep(ours.groupBy(*keys).cogroup(theirs.groupBy(*keys)).applyInArrow(compare, "a long, b long"), f"{name}-{step}")
 
     found = None
     for step in range(2):
-        # A point not linked yet becomes the pivot: one row per region.
-        free = dealt if found is None else dealt.join(found.select(F.col("b").alias("point")), "point", "left_anti")
+        # Of the points not linked yet, one becomes the pivot of its region.
+        free = dealt if found is None else dealt.join(found.select(F.col("a").alias("point")), "point", "left_anti")
         first = free.groupBy("region").agg(F.min("point").alias("point"))
-        pivot = work.keep(dealt.join(first, ["region", "point"]).select("region", *theirs), f"{name}-pivot{step}")
-        pairs = dealt.join(pivot, "region").select(*columns[1:], *[c for c in pivot.columns if c != "region"])
-        swapped = test(pairs).select(F.col("b").alias("a"), F.col("a").alias("b"))
-        linked = work.keep(swapped, f"{name}-star{step}")
+        linked = cross(work.keep(dealt.join(first, ["region", "point"]).select(*columns), f"{name}-pivot{step}"), f"star{step}")
         found = linked if found is None else found.unionByName(linked)
     parts = connected_components(found, work, f"{name}-parts")
     placed = dealt.select("region", "point").join(parts.withColumnRenamed("node", "point"), "point", "left")
     placed = placed.select("region", "point", F.coalesce("component", "point").alias("component"))
     sizes = placed.groupBy("region", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("region").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-    rest = placed.join(main, "region").where("component != main").select("point")
-    # The rest against all points of its regions, dealt over all tasks by both sides.
-    asked = dealt.join(rest, "point", "left_semi").select("region", *theirs)
-    pairs = dealt.join(asked, "region").where(F.col("point") != F.col("other_point"))
-    more = work.keep(test(pairs.select(*columns[1:], *[c for c in asked.columns if c != "region"])), f"{name}-rest")
+    rest = placed.join(main, "region").where("component != main").select("region", "point")
+    more = cross(work.keep(dealt.join(rest, ["region", "point"], "left_semi"), f"{name}-asked"), "rest")
     return links.unionByName(found).unionByName(more)
 
 
@@ -410,15 +414,18 @@ def components(docs: DataFrame, like: Similarity) -> DataFrame:
                 forest.join(i, i + 1 + int(j))
         return [(int(order[i]), int(order[j])) for i, j in forest.links]
 
-    def near_rows(batch: pa.RecordBatch, other: str) -> np.ndarray:
-        n, m = batch.column("n").to_numpy(), batch.column(f"{other}n").to_numpy()
-        ours, theirs = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i4").reshape(len(n), BINS) for c in ("bins", f"{other}bins")
-        )
-        return like.possible(np.abs(ours - theirs).sum(axis=1), n, m)
+    def near_blocks(ours: pa.Table, theirs: pa.Table) -> list[tuple[int, int]]:
+        n, m = ours.column("n").to_numpy(), theirs.column("n").to_numpy()
+        left, right = (np.frombuffer(b"".join(t.column("bins").to_pylist()), "<i4").reshape(-1, BINS) for t in (ours, theirs))
+        forest = Forest(len(n) + len(m))
+        for j in range(len(m)):
+            apart = np.abs(left - right[j]).sum(axis=1)
+            for i in np.flatnonzero(like.possible(apart, n, m[j])):
+                forest.join(int(i), len(n) + j)
+        return [(i, j - len(n)) for i, j in forest.links]
 
     large = kept.where(F.col("size") > 2 * REGION_POINTS).select("region")
-    close = _join_regions(members, ["n", "bins"], large, near, near_rows, work, "near")
+    close = _join_regions(members, ["n", "bins"], large, near, near_blocks, work, "near")
     regions = work.keep(
         connected_components(close, work, "regions").select(F.col("node").alias("point"), F.col("component").alias("region")), "regions"
     )
@@ -435,19 +442,16 @@ def components(docs: DataFrame, like: Similarity) -> DataFrame:
     def exact(table: pa.Table) -> list[tuple[int, int]]:
         return Space(_payload_sets(table, like), like).join()
 
-    def exact_rows(batch: pa.RecordBatch, other: str) -> np.ndarray:
-        ours = shingle_sets(batch.column("text"), like.words)
-        known: dict[str, np.ndarray] = {}
-        good = []
-        for mine, their in zip(ours, batch.column(f"{other}text").to_pylist()):
-            if their not in known:
-                known.clear()
-                known[their] = next(shingle_sets(pa.array([their]), like.words))
-            both = len(np.intersect1d(mine, known[their], assume_unique=True))
-            good.append(bool(like.linked(both, len(mine), len(known[their]))))
-        return np.array(good, bool)
-
-    links = _join_regions(members, ["text"], large, exact, exact_rows, work, "exact")
+    def exact_blocks(ours: pa.Table, theirs: pa.Table) -> list[tuple[int, int]]:
+        left, right = _payload_sets(ours, like), _payload_sets(theirs, like)
+        space, forest, all_left = Space(left + right, like), Forest(len(left) + len(right)), np.arange(len(left))
+        for j in range(len(left), len(left) + len(right)):
+            both = space.common(j, all_left)
+            for i in all_left[like.linked(both, space.n[all_left], space.n[j])]:
+                forest.join(int(i), j)
+        return [(i, j - len(left)) for i, j in forest.links]
+
+    links = _join_regions(members, ["text"], large, exact, exact_blocks, work, "exact")
     linked = connected_components(links, work, "links").select(F.col("node").alias("point"), "component")
     placed = described.select("doc_id", "text_hash", "n", "point").join(linked, "point", "left")
     placed = work.keep(placed.withColumn("component", F.coalesce("component", "point")), "placed")
