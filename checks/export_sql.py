@@ -128,6 +128,10 @@ def _hit_dimensions() -> str:
             f"CAST({{'index': {k}, 'value': 'd{k}_' || (event_id % 12)}} AS {DIMENSION}) END"
             for k in rules.HIT_DIMENSIONS
         ]
+        + [
+            f"CASE WHEN event_id % 50 = 7 THEN CAST({{'index': {k}, 'value': 'r' || (event_id % 3)}} AS {DIMENSION}) END"
+            for k in rules.REPEATED_DIMENSIONS
+        ]
     )
 
 
@@ -149,6 +153,7 @@ def _numbered(*fields: str) -> str:
     return "{" + ", ".join(f"'{f}': '{f}_' || (event_id % 6)" for f in fields) + "}"
 
 
+# Events that are no interaction.
 PASSIVE = (
     "('view_item', 'screenview', 'screen_view', 'onboarding_pick_teams_screen_view', 'gdpr_screen_view', "
     "'page_view', 'view_item_list', 'view_promotion', 'scroll')"

@@ -225,7 +225,14 @@ def _hit() -> Column:
                     F.struct(F.lit(index).cast("long").alias("index"), _text(f"d{index}_", event % 12).alias("value")),
                 )
                 for index in rules.HIT_DIMENSIONS
-            ]
+            ],
+            *[
+                F.when(
+                    event % 50 == 7,
+                    F.struct(F.lit(index).cast("long").alias("index"), _text("r", event % 3).alias("value")),
+                )
+                for index in rules.REPEATED_DIMENSIONS
+            ],
         )
     )
     promotion = F.transform(

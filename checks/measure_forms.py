@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import Column, DataFrame, Window
@@ -101,7 +102,7 @@ def median_seconds(frame: DataFrame, runs: int = RUNS) -> float:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = local_session("8")
+    spark = local_session(tempfile.mkdtemp(prefix="checks-"), "8")
     spark.sparkContext.setLogLevel("ERROR")
     events = exports.ga4(spark, sf_dir)
     visited = with_visits(events)

@@ -6,9 +6,8 @@ stays with the plain one: windows over whole visits, ``first_value``, ``count(DI
 
 from __future__ import annotations
 
+from checks import oracle_layouts as fixed
 from checks.export_sql import GA4, PASSIVE, UA
-from hitloom.plans import hits, sessions, visits
-from hitloom.plans.products import PROMOTION_LAYOUT
 
 
 def _param(key: str, slot: str = "string_value", bag: str = "event_params") -> str:
@@ -154,11 +153,11 @@ def _hit_columns() -> dict[str, str]:
         "fullVisitorId": "fullVisitorId",
         "visitId": "visitId",
         "product_id_14": "stream_id",
-        **{name: "CAST(NULL AS VARCHAR)" for name in hits.ABSENT},
-        **{name: _param(key) for name, key in hits.EVENT_TEXTS.items()},
-        **{name: f"nullif({_param(key)}, '')" for name, key in hits.SECTION_TEXTS.items()},
-        **{name: _user(key) for name, key in hits.USER_TEXTS.items()},
-        **{name: _joined("items", field, by) for name, (field, by) in hits.ITEM_TEXTS.items()},
+        **{name: "CAST(NULL AS VARCHAR)" for name in fixed.ABSENT},
+        **{name: _param(key) for name, key in fixed.EVENT_TEXTS.items()},
+        **{name: f"nullif({_param(key)}, '')" for name, key in fixed.SECTION_TEXTS.items()},
+        **{name: _user(key) for name, key in fixed.USER_TEXTS.items()},
+        **{name: _joined("items", field, by) for name, (field, by) in fixed.ITEM_TEXTS.items()},
         "language_26": f"upper({_param('page_language')})",
         "TV_Platforms_55": TV,
         "hit_type_59": HIT_TYPE,
@@ -186,9 +185,9 @@ def _normalised_hits() -> str:
     typed = {"video_length_73", "hitNumber", "promoIsView", "promoIsClick", "hit_isInteraction_62"}
     typed |= {"hit_time_60", "hit_isExit_61", "datedate"}
     shown = ", ".join(
-        f"{name}" if name in typed else f"nullif(trim({name}), '') AS {name}" for name in hits.LAYOUT
+        f"{name}" if name in typed else f"nullif(trim({name}), '') AS {name}" for name in fixed.HITS_LAYOUT
     )
-    inner = "SELECT DISTINCT " + ", ".join(f"{columns[n]} AS {n}" for n in hits.LAYOUT) + " FROM events_measured"
+    inner = "SELECT DISTINCT " + ", ".join(f"{columns[n]} AS {n}" for n in fixed.HITS_LAYOUT) + " FROM events_measured"
     return _numbered(f"SELECT {shown} FROM ({inner})")
 
 
@@ -385,38 +384,42 @@ def _dimension_join(array: str, name: str, index: int) -> str:
     )
 
 
-def _first_dimension(index: int) -> str:
-    return f"list_filter(hit.customDimensions, lambda d: d.index = {index})[1].value"
-
-
 def _ua_hit_columns() -> dict[str, str]:
     return {
         "visitId": "visitId",
         "fullVisitorId": "fullVisitorId",
-        **{name: f"hit.{path}" for name, path in sessions.HIT_FIELDS.items()},
-        **{name: f"hit.{sessions.HIT_FIELDS[same]}" for name, same in sessions.REPEATED_FIELDS.items()},
-        **{name: _first_dimension(index) for name, index in sessions.HIT_DIMENSIONS.items()},
+        **{name: f"hit.{path}" for name, path in fixed.UA_HIT_FIELDS.items()},
+        **{name: f"hit.{fixed.UA_HIT_FIELDS[same]}" for name, same in fixed.UA_REPEATED_FIELDS.items()},
+        **{name: name for name in fixed.UA_HIT_DIMENSIONS},
         **{
             name: _joined(f"hit.{array}", field, by, clean=False)
-            for name, (array, field, by) in sessions.HIT_LISTS.items()
+            for name, (array, field, by) in fixed.UA_HIT_LISTS.items()
         },
     }
 
 
 def _ua_hits(*names: str) -> str:
     columns = _ua_hit_columns()
-    return _ua("SELECT DISTINCT " + ", ".join(f"{columns[n]} AS {n}" for n in names) + f" FROM {UA_HITS}")
+    joins = " ".join(
+        _dimension_join("hit.customDimensions", name, index)
+        for name, index in fixed.UA_HIT_DIMENSIONS.items()
+        if name in names
+    )
+    return _ua("SELECT DISTINCT " + ", ".join(f"{columns[n]} AS {n}" for n in names) + f" FROM {UA_HITS} {joins}")
 
 
 def _ua_visits(*names: str) -> str:
-    columns = {name: path for name, path in sessions.SESSION_FIELDS.items()}
-    columns |= {name: name for name in sessions.SESSION_DIMENSIONS}
+    columns = {name: path for name, path in fixed.UA_SESSION_FIELDS.items()}
+    columns |= {name: name for name in fixed.UA_SESSION_DIMENSIONS}
     joins = " ".join(
-        _dimension_join("customDimensions", name, index) for name, index in sessions.SESSION_DIMENSIONS.items()
+        _dimension_join("customDimensions", name, index) for name, index in fixed.UA_SESSION_DIMENSIONS.items()
     )
     return _ua("SELECT " + ", ".join(f"{columns[n]} AS {n}" for n in names) + f" FROM ga_sessions {joins}")
 
 
+LOADED_PROMOTIONS = (
+    "SELECT * REPLACE (nullif(trim(promoId), '') AS promoId, nullif(trim(promoName), '') AS promoName)"
+)
 UA_PROMOTIONS = """SELECT DISTINCT visitId, fullVisitorId, hit.hitNumber AS hitNumber, shown.promoId AS promoId,
     shown.promoName AS promoName, hit.promotionActionInfo.promoIsView AS promoIsView,
     hit.promotionActionInfo.promoIsClick AS promoIsClick
@@ -460,16 +463,16 @@ def all_oracles() -> dict[str, str]:
     lower_channel = (MEDIUM, f"lower({raw_channel[1]})", f"lower({raw_channel[2]})")
     first_values = {"platform": "platform", "country": "geo.country", "city": "geo.city"}
     return {
-        "ga4_hits": _hits(hits.LAYOUT),
-        "ga4_hits_basic": _hits([c for c in hits.LAYOUT if c not in hits.ONLY_IN_FULL]),
-        "ga4_visits_attributed": _visits_attributed(visits.ATTRIBUTED_LAYOUT),
-        "ga4_visits_per_visit": _visits_attributed([c for c in visits.ATTRIBUTED_LAYOUT if c != "engagement_time"]),
-        "ga4_visits_basic": _visits_basic(visits.BASIC_LAYOUT),
+        "ga4_hits": _hits(fixed.HITS_LAYOUT),
+        "ga4_hits_basic": _hits([c for c in fixed.HITS_LAYOUT if c not in fixed.ONLY_IN_FULL]),
+        "ga4_visits_attributed": _visits_attributed(fixed.ATTRIBUTED_LAYOUT),
+        "ga4_visits_per_visit": _visits_attributed([c for c in fixed.ATTRIBUTED_LAYOUT if c != "engagement_time"]),
+        "ga4_visits_basic": _visits_basic(fixed.BASIC_LAYOUT),
         "ga4_products": _numbered(PRODUCTS),
-        "ga4_promos": _promotions(PROMOTION_LAYOUT),
-        "ga4_promos_basic": _promotions([c for c in PROMOTION_LAYOUT if c != "date_5"]),
-        "ua_hits": _ua_hits(*sessions.HIT_LAYOUT),
-        "ua_visits": _ua_visits(*sessions.VISIT_LAYOUT),
+        "ga4_promos": _promotions(fixed.PROMOTION_LAYOUT),
+        "ga4_promos_basic": _promotions([c for c in fixed.PROMOTION_LAYOUT if c != "date_5"]),
+        "ua_hits": _ua_hits(*fixed.UA_HIT_LAYOUT),
+        "ua_visits": _ua_visits(*fixed.UA_VISIT_LAYOUT),
         "ua_promotions": _ua(UA_PROMOTIONS),
         "scan_ga4_day": _ga4(
             "SELECT event_timestamp, event_name, user_pseudo_id, platform FROM ga4_events WHERE event_date = '20240115'"
@@ -479,10 +482,14 @@ def all_oracles() -> dict[str, str]:
         "csv_load": UNTIDY,
         "csv_load_rejected": REJECTED,
         "mart_day_overwrite": _ua(
-            f"SELECT * REPLACE (nullif(trim(promoId), '') AS promoId, nullif(trim(promoName), '') AS promoName), "
-            f"DATE '2024-01-15' AS load_day FROM ({UA_PROMOTIONS})"
+            f"{LOADED_PROMOTIONS}, DATE '2024-01-15' AS load_day FROM ({UA_PROMOTIONS}) UNION ALL "
+            f"{LOADED_PROMOTIONS}, DATE '2024-01-16' AS load_day FROM ({UA_PROMOTIONS}) WHERE hitNumber % 3 = 0"
+        ),
+        "mart_day_emptied": _ua(
+            f"{LOADED_PROMOTIONS}, DATE '2024-01-16' AS load_day FROM ({UA_PROMOTIONS}) WHERE hitNumber % 3 = 0"
         ),
-        "hits_target_projection": _hits(hits.TARGET_LAYOUT),
+        "csv_day_load": _numbered(f"SELECT *, DATE '2024-01-15' AS load_day FROM ({PRODUCTS})"),
+        "hits_target_projection": _hits(fixed.TARGET_LAYOUT),
         "normalised_hits": _normalised_hits(),
         "struct_projection": _per_event(
             category="device.category", country="geo.country", manual_source=f"{SOURCE}.manual_source"
@@ -590,13 +597,13 @@ def all_oracles() -> dict[str, str]:
         ),
         **{f"first_touch_{group}": _first_touch(group) for group in TOUCH},
         "mart_dq_summary": _numbered(
-            _summary(_hits(hits.LAYOUT).removeprefix(f"WITH {NUMBERED} "), ["visitId", "hitNumber"])
+            _summary(_hits(fixed.HITS_LAYOUT).removeprefix(f"WITH {NUMBERED} "), ["visitId", "hitNumber"])
         ),
         "largest_visits_dq": _ga4(_summary(f"SELECT user_pseudo_id || {SESSION} AS visitId FROM ga4_events", ["visitId"])),
         "ua_explode_hits": _ua(
             f"SELECT visitId, fullVisitorId, hit.hitNumber AS hitNumber, hit.type AS type FROM {UA_HITS}"
         ),
-        "ua_custom_dims_hits": _ua_hits("visitId", "fullVisitorId", "hitNumber", *sessions.HIT_DIMENSIONS),
-        "ua_custom_dims_session": _ua_visits("visitId", "fullVisitorId", *sessions.SESSION_DIMENSIONS),
-        "ua_items_to_string": _ua_hits("visitId", "fullVisitorId", "hitNumber", *sessions.HIT_LISTS),
+        "ua_custom_dims_hits": _ua_hits("visitId", "fullVisitorId", "hitNumber", *fixed.UA_HIT_DIMENSIONS),
+        "ua_custom_dims_session": _ua_visits("visitId", "fullVisitorId", *fixed.UA_SESSION_DIMENSIONS),
+        "ua_items_to_string": _ua_hits("visitId", "fullVisitorId", "hitNumber", *fixed.UA_HIT_LISTS),
     }

@@ -11,18 +11,19 @@ from pyspark.sql import types as T
 
 from checks import exports
 from hitloom.functions import flags, traffic
-from hitloom.functions.lookups import bag_value, dimension, event_long, event_text, user_text
-from hitloom.functions.texts import clean_text, joined, without_not_set
+from hitloom.functions.lookups import bag_value, event_long, event_text, user_text
+from hitloom.functions.texts import clean_text, joined, null_if, without_not_set
 from hitloom.operators import hit_numbers, items, visit_metrics
 from hitloom.operators.first_touch import first_row, first_touch
 from hitloom.operators.visit_keys import HIT_KEY, event_id, hit_key, visit_id, with_visits
-from hitloom.plans import hits, products, quality, sessions, visits
+from hitloom.plans import daily, hits, products, quality, sessions, visits
 from hitloom.session import apply_settings
 from hitloom.sources import marts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = date(2024, 1, 15)
+NEXT_DAY = date(2024, 1, 16)
 EVENT = ("event_timestamp", "event_name")
 VISIT_EVENT = ("visitId", *EVENT)
 
@@ -131,12 +132,40 @@ def csv_load_rejected(spark, sf_dir):
 
 @on_files
 def mart_day_overwrite(spark, sf_dir):
+    """Two days; the first is written with a part of its rows, then with all."""
+    return _promotion_days(spark, sf_dir, "promotions_mart", lambda mart: mart)
+
+
+@on_files
+def mart_day_emptied(spark, sf_dir):
+    """Two days; the first is written with a part of its rows, then with none."""
+    return _promotion_days(spark, sf_dir, "promotions_emptied", lambda mart: mart.where(F.lit(False)))
+
+
+def _promotion_days(spark, sf_dir, table, rebuilt):
+    mart = sessions.promotions(exports.ua(spark, sf_dir))
+
     def write(path):
-        mart = sessions.promotions(exports.ua(spark, sf_dir))
-        marts.write_mart(mart, path, DAY)
-        marts.write_mart(mart, path, DAY)
+        marts.write_mart(mart.where("hitNumber % 2 = 0"), path, DAY)
+        marts.write_mart(mart.where("hitNumber % 3 = 0"), path, NEXT_DAY)
+        marts.write_mart(rebuilt(mart), path, DAY)
+
+    return marts.read_mart(spark, exports.write_once(spark, sf_dir, table, write), mart.schema)
 
-    return spark.read.parquet(exports.write_once(spark, sf_dir, "promotions_mart", write))
+
+@on_files
+def csv_day_load(spark, sf_dir):
+    """Exported CSV files of products, loaded into their mart in one call."""
+    mart = products.products(exports.ga4(spark, sf_dir))
+
+    def write(path):
+        marts.export_csv(mart, f"{path}/csv", rows_per_file=5000)
+        daily.load_exported_day(
+            spark, "ga4_products", f"{path}/csv", mart.schema, f"{path}/marts", f"{path}/quarantine", DAY
+        )
+
+    path = exports.write_once(spark, sf_dir, "products_day", write)
+    return marts.read_mart(spark, f"{path}/marts/{daily.MARTS['ga4_products'].folder}", mart.schema)
 
 
 @on_events
@@ -256,7 +285,7 @@ _scalar("tv_platform", lambda: flags.tv_platform(F.col("device")))
 _scalar("video_length", hits.video_length)
 _scalar("hit_type", lambda: flags.hit_type(F.col("event_name")))
 _scalar("player_id", hits.player_id)
-_scalar("content_section", lambda: F.nullif(event_text("content_section_1"), F.lit("")))
+_scalar("content_section", lambda: null_if(event_text("content_section_1"), ""))
 _scalar("not_set_to_null", lambda: without_not_set(F.col("geo.country")))
 _scalar("data_cleaning", lambda: clean_text(F.col("device.language")))
 _scalar("parse_event_date", lambda: flags.event_date(F.col("event_date")))
@@ -449,20 +478,14 @@ def largest_visits_dq(events):
 @on_sessions
 def ua_explode_hits(rows):
     hit = F.col("hit")
-    return sessions.explode_hits(rows).select(
+    return sessions.explode_hits(rows, "hitNumber", "type").select(
         "visitId", "fullVisitorId", hit["hitNumber"].alias("hitNumber"), hit["type"].alias("type")
     )
 
 
 @on_sessions
 def ua_custom_dims_hits(rows):
-    hit = F.col("hit")
-    return sessions.explode_hits(rows).select(
-        "visitId",
-        "fullVisitorId",
-        hit["hitNumber"].alias("hitNumber"),
-        *[dimension(hit["customDimensions"], index).alias(name) for name, index in sessions.HIT_DIMENSIONS.items()],
-    )
+    return sessions.hits(rows).select("visitId", "fullVisitorId", "hitNumber", *sessions.HIT_DIMENSIONS).distinct()
 
 
 @on_sessions

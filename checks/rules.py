@@ -52,6 +52,8 @@ TEXT_PARAMS = [
 ]
 
 HIT_DIMENSIONS = [1, 4, 10, 14, 25, 30, 31, 35, 36, 37, 39, 40, 41, 42, 43, 44, 51, 53, 56, 105, 106]
+# Given twice in some hits.
+REPEATED_DIMENSIONS = [10, 14]
 
 BUCKET_MICROS = 259_200_000_000
 BUCKET_SECONDS = 259_200

@@ -7,12 +7,27 @@ interpreted and walk the structs again for every key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_strict: ContextVar[bool] = ContextVar("strict", default=False)
+
+
+@contextmanager
+def strict_lookups() -> Iterator[None]:
+    """Within this block, lookups are built to raise when a key is repeated: a mart built here is strict."""
+    token = _strict.set(True)
+    try:
+        yield
+    finally:
+        _strict.reset(token)
+
+
 def _slot(keys: Column, key) -> Column:
     """Zero-based position of ``key``; -1 when missing, for which ``get`` gives NULL."""
     return (F.array_position(keys, key) - 1).cast("int")
@@ -23,22 +38,22 @@ def _only_once(keys: Column, key, found: Column) -> Column:
     return F.when(occurrences > 1, F.raise_error(F.lit(f"key {key!r} occurs more than once"))).otherwise(found)
 
 
-def bag_value(entries: Column, key: str, strict: bool = False) -> Column:
+def bag_value(entries: Column, key: str, strict: bool | None = None) -> Column:
     """The whole typed value struct stored under ``key``; NULL if absent.
 
-    The first entry wins when a key is repeated; ``strict`` raises instead.
+    The first entry wins when a key is repeated; ``strict``, also as ``strict_lookups``, raises instead.
     """
     found = F.get(entries["value"], _slot(entries["key"], key))
-    return _only_once(entries["key"], key, found) if strict else found
+    return _only_once(entries["key"], key, found) if (_strict.get() if strict is None else strict) else found
 
 
-def bag_field(entries: Column, key: str, field: str, strict: bool = False) -> Column:
+def bag_field(entries: Column, key: str, field: str, strict: bool | None = None) -> Column:
     """One typed slot (``string_value``, ``int_value``, ...) of the value under ``key``.
 
     Reads only that slot's array, so a Parquet scan skips the slots nobody asks for.
     """
     found = F.get(entries["value"][field], _slot(entries["key"], key))
-    return _only_once(entries["key"], key, found) if strict else found
+    return _only_once(entries["key"], key, found) if (_strict.get() if strict is None else strict) else found
 
 
 def event_text(key: str) -> Column:
@@ -64,20 +79,31 @@ def dimension_values(entries: Column, index: int) -> Column:
     return F.transform(F.filter(entries, lambda entry: entry["index"] == index), lambda entry: entry["value"])
 
 
-def dimension_choices(entries: Column, indexes: Sequence[int]) -> Column:
-    """Array of ways to read the dimensions: one per combination of the repeated ones.
+def dimension_counts(entries: Column, indexes: Sequence[int]) -> Column:
+    """How many rows each of the dimensions asks for: its values in the row, at least one."""
+    return F.array(*[F.greatest(F.size(dimension_values(entries, index)), F.lit(1)).cast("long") for index in indexes])
 
-    Almost always there is exactly one, the entries themselves; only a row that repeats an index
-    pays for working out the combinations.
-    """
-    wanted = F.filter(entries, lambda entry: entry["index"].isin(*indexes))
-    nothing_chosen = F.array(F.slice(wanted, 1, 0))
 
-    def add(choices: Column, index: Column) -> Column:
-        matching = F.filter(wanted, lambda entry: entry["index"] == index)
-        longer = F.transform(choices, lambda chosen: F.transform(matching, lambda e: F.array_append(chosen, e)))
-        return F.flatten(longer)
+def explode_repeats(rows: DataFrame, entries: Column, indexes: Sequence[int]) -> DataFrame:
+    """Add ``choice``: one row per combination of the values of repeated dimensions, numbered from 0.
 
-    combinations = F.reduce(F.array_distinct(wanted["index"]), nothing_chosen, add)
+    Almost always there is exactly one.  Only the numbers are made at once, not the combinations.
+    """
     repeated = F.size(F.array_distinct(entries["index"])) < F.size(entries)
-    return F.when(repeated, combinations).otherwise(F.array(entries))
+    product = F.reduce(dimension_counts(entries, indexes), F.lit(1).cast("long"), lambda a, b: a * b)
+    numbers = F.when(repeated, F.sequence(F.lit(0).cast("long"), product - 1)).otherwise(F.array(F.lit(0).cast("long")))
+    return rows.select("*", repeated.alias("repeats"), F.explode(numbers).alias("choice"))
+
+
+def chosen_dimension(entries: Column, indexes: Sequence[int], index: int) -> Column:
+    """The dimension's value in a row's ``choice``; its number is read like a clock with a digit per dimension."""
+    place = list(indexes).index(index)
+    turns = F.reduce(
+        dimension_counts(entries, list(indexes)[:place]) if place else F.array(F.lit(1).cast("long")),
+        F.lit(1).cast("long"),
+        lambda a, b: a * b,
+    )
+    values = dimension_values(entries, index)
+    digit = F.expr("choice").cast("long")
+    at = F.floor(digit / turns) % F.greatest(F.size(values), F.lit(1))
+    return F.when(F.col("repeats"), F.get(values, at.cast("int"))).otherwise(dimension(entries, index))

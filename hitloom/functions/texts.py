@@ -13,13 +13,22 @@ def no_text() -> Column:
     return F.lit(None).cast("string")
 
 
+def null_if(value: Column, text: str) -> Column:
+    """NULL instead of ``text``.
+
+    A plain condition: ``nullif`` is planned as a shared sub-expression with a projection of its own,
+    which keeps a scan from being pruned to the fields a lookup reads.
+    """
+    return F.when(value != text, value)
+
+
 def without_not_set(value: Column) -> Column:
-    return F.nullif(value, F.lit(NOT_SET))
+    return null_if(value, NOT_SET)
 
 
 def clean_text(value: Column) -> Column:
     """Placeholder and empty text become NULL, so that completeness tests need only look for NULL."""
-    return F.nullif(without_not_set(value), F.lit(""))
+    return F.when((value != NOT_SET) & (value != ""), value)
 
 
 def joined(items: Column, field: str, order_by: str | None = None, drop_not_set: bool = True) -> Column:

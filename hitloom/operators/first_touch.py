@@ -27,7 +27,7 @@ def first_row(events: DataFrame, values: Mapping[str, Column]) -> DataFrame:
 
 
 class TouchGroup:
-    """Attributes taken together from the earliest event on which all ``required`` ones are known.
+    """Attributes taken together from the earliest event on which all ``required`` ones and the time are known.
 
     Visits without any such event take the earliest event, with whatever it knows.
     """
@@ -37,7 +37,7 @@ class TouchGroup:
         self.values = dict(values)
 
     def pick(self) -> Column:
-        unknown = F.lit(False)
+        unknown = F.col(ORDER[0]).isNull()
         for column in self.required:
             unknown = unknown | column.isNull()
         return _lowest([unknown, *[F.col(c) for c in ORDER]], self.values)

@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitloom.plans import hits, products, quality, sessions, visits
 from hitloom.sources import exports, marts
@@ -45,17 +46,36 @@ def build_day(spark: SparkSession, name: str, source: str, day: date | None = No
     return mart.build(mart.scan(spark, source, day or exports.yesterday()))
 
 
+def _replace(spark: SparkSession, name: str, rows: DataFrame, target: str, day: date) -> DataFrame:
+    path = f"{target}/{MARTS[name].folder}"
+    marts.write_mart(rows, path, day)
+    written = marts.read_mart(spark, path, rows.schema).where(F.col(marts.LOAD_DAY) == F.lit(day))
+    return quality.summary(written, MARTS[name].keys)
+
+
 def load_day(spark: SparkSession, name: str, source: str, target: str, day: date | None = None) -> DataFrame:
     """Build one day, replace it in the Parquet mart below ``target`` and summarise what was written."""
     day = day or exports.yesterday()
-    path = f"{target}/{MARTS[name].folder}"
-    marts.write_mart(build_day(spark, name, source, day), path, day)
-    written = spark.read.parquet(path).where(F.col(marts.LOAD_DAY) == F.lit(day))
-    return quality.summary(written, MARTS[name].keys)
+    return _replace(spark, name, build_day(spark, name, source, day), target, day)
 
 
-def export_day(spark: SparkSession, name: str, source: str, target: str, day: date | None = None) -> str:
+def export_day(
+    spark: SparkSession, name: str, source: str, target: str, day: date | None = None, rows_per_file: int = 0
+) -> str:
     """Build one day and write it as gzip CSV to the mart's own folder; returns that folder."""
     path = f"{target}/{MARTS[name].folder}"
-    marts.export_csv(build_day(spark, name, source, day), path)
+    marts.export_csv(build_day(spark, name, source, day), path, rows_per_file)
     return path
+
+
+def load_exported_day(
+    spark: SparkSession, name: str, files: str, schema: T.StructType, target: str, quarantine: str, day: date
+) -> DataFrame:
+    """Load a day's exported CSV files into the mart below ``target``, going on past bad rows.
+
+    Rows with a field that does not fit ``schema`` go, as text, to the mart's folder below
+    ``quarantine``; both replace what the day had before.  Returns the summary of what was written.
+    """
+    good, rejected = marts.load_csv(spark, files, schema)
+    rejected.write.mode("overwrite").parquet(f"{quarantine}/{MARTS[name].folder}/{marts.LOAD_DAY}={day}")
+    return _replace(spark, name, good, target, day)

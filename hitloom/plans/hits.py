@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hitloom.functions import flags
 from hitloom.functions.lookups import event_long, event_text, user_text
-from hitloom.functions.texts import joined, no_text
+from hitloom.functions.texts import joined, no_text, null_if
 from hitloom.operators.hit_numbers import hit_table, with_hits
 from hitloom.operators.visit_keys import HIT_KEY, hit_key, with_visits
 
@@ -135,7 +135,7 @@ def event_columns() -> dict[str, Column]:
     return {
         "product_id_14": F.col("stream_id"),
         **{column: event_text(key) for column, key in EVENT_TEXTS.items()},
-        **{column: F.nullif(event_text(key), F.lit("")) for column, key in SECTION_TEXTS.items()},
+        **{column: null_if(event_text(key), "") for column, key in SECTION_TEXTS.items()},
         **{column: user_text(key) for column, key in USER_TEXTS.items()},
         **{column: joined(F.col("items"), field, by) for column, (field, by) in ITEM_TEXTS.items()},
         "language_26": F.upper(event_text("page_language")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.functions.lookups import dimension, dimension_choices, dimension_values
+from hitloom.functions.lookups import chosen_dimension, dimension_values, explode_repeats
 from hitloom.functions.texts import joined
 
 # Output column -> custom dimension of the hit.
@@ -162,9 +162,14 @@ VISIT_LAYOUT = (
 PROMOTION_LAYOUT = ("visitId", "fullVisitorId", "hitNumber", "promoId", "promoName", "promoIsView", "promoIsClick")
 
 
-def explode_hits(sessions: DataFrame) -> DataFrame:
-    """One row per hit, with the keys of its session; sessions without hits give no row."""
-    return sessions.select("visitId", "fullVisitorId", F.explode("hits").alias("hit"))
+def explode_hits(sessions: DataFrame, *fields: str) -> DataFrame:
+    """One row per hit, with the keys of its session; sessions without hits give no row.
+
+    With ``fields``, only those of the hit are kept, and read.
+    """
+    hits = F.col("hits")
+    wanted = F.arrays_zip(*[hits[field].alias(field) for field in fields]) if fields else hits
+    return sessions.select("visitId", "fullVisitorId", F.explode(wanted).alias("hit"))
 
 
 def explode_dimension(rows: DataFrame, entries: Column, name: str, index: int) -> DataFrame:
@@ -186,13 +191,13 @@ def hits(sessions: DataFrame) -> DataFrame:
     A custom dimension given more than once in a hit gives a row per value.
     """
     hit = F.col("hit")
-    dimensions = dimension_choices(hit["customDimensions"], list(HIT_DIMENSIONS.values()))
-    rows = explode_hits(sessions).select("*", F.explode(dimensions).alias("dimensions"))
+    entries, indexes = hit["customDimensions"], list(HIT_DIMENSIONS.values())
+    rows = explode_repeats(explode_hits(sessions), entries, indexes)
     columns = {
         "visitId": F.col("visitId"),
         "fullVisitorId": F.col("fullVisitorId"),
         **{name: _field(hit, path) for name, path in HIT_FIELDS.items()},
-        **{name: dimension(F.col("dimensions"), index) for name, index in HIT_DIMENSIONS.items()},
+        **{name: chosen_dimension(entries, indexes, index) for name, index in HIT_DIMENSIONS.items()},
         **{
             name: joined(hit[array], field, by, drop_not_set=False)
             for name, (array, field, by) in HIT_LISTS.items()
@@ -214,7 +219,7 @@ def visits(sessions: DataFrame) -> DataFrame:
 def promotions(sessions: DataFrame) -> DataFrame:
     """The promotions mart: distinct promotions of every hit that has any."""
     hit, shown = F.col("hit"), F.col("shown")
-    rows = explode_hits(sessions).select(
+    rows = explode_hits(sessions, "hitNumber", "promotionActionInfo", "promotion").select(
         "visitId",
         "fullVisitorId",
         hit["hitNumber"].alias("hitNumber"),

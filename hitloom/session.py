@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 RUNTIME_SETTINGS = {
+    # A malformed date or number must fail, not turn into NULL.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,13 +28,14 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A single-machine session for tests and benchmarks."""
+def local_session(folder: str, cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+    """A single-machine session for tests and benchmarks; tables between steps go to ``folder``."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("hitloom")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", folder)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         # A mart builds several hundred column expressions; recording a call site for each is slow.
@@ -43,20 +44,12 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     return apply_settings(builder.getOrCreate())
 
 
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for tables written between steps: ``spark.checkpoint.dir`` of the session.
+    """The folder for tables written between steps.
 
-    Only a local master may run without that setting; it then gets one temporary folder.
+    It is ``spark.checkpoint.dir`` of the session, or else the checkpoint folder set on its context.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="hitloom-")
-    return _local_folders[application]
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder.rstrip("/")

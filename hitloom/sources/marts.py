@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOAD_DAY = "load_day"
+#: What the CSV reader trims: all characters up to the blank.
+TRIMMED = "".join(map(chr, range(33)))
 
 
 def export_csv(mart: DataFrame, path: str, rows_per_file: int = 0) -> None:
@@ -66,21 +68,24 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[Data
 
 
 def normalise_for_load(mart: DataFrame) -> DataFrame:
-    """What a warehouse holds after the CSV hop: texts trimmed, empty ones NULL."""
-    texts = {f.name: F.nullif(F.trim(f.name), F.lit("")) for f in mart.schema if f.dataType == T.StringType()}
+    """What a warehouse holds after the CSV hop: texts without blanks and control characters around, empty ones NULL."""
+    trimmed = {f.name: F.btrim(f"`{f.name}`", F.lit(TRIMMED)) for f in mart.schema if f.dataType == T.StringType()}
+    texts = {name: F.when(text != "", text) for name, text in trimmed.items()}
     return mart.withColumns(texts) if texts else mart
 
 
-def write_mart(mart: DataFrame, path: str, day: date) -> None:
-    """Replace one day of a Parquet mart; running it again changes nothing.
+def write_mart(mart: DataFrame, path: str, day: date, rows_per_file: int = 0) -> None:
+    """Replace one day of a Parquet mart, also by nothing; running it again changes nothing.
 
-    ``rebalance`` lets AQE even out file sizes, splitting large partitions and merging small ones.
+    The day is a folder of its own, which is overwritten as a whole: a day without rows is empty
+    afterwards.  ``rows_per_file`` bounds a file; small ones are merged by AQE where a mart ends in a
+    shuffle.
     """
-    rows = normalise_for_load(mart).withColumn(LOAD_DAY, F.lit(day))
-    (
-        rows.hint("rebalance")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(LOAD_DAY)
-        .parquet(path)
-    )
+    rows = normalise_for_load(mart)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/{LOAD_DAY}={day}")
+
+
+def read_mart(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet mart with its days, also when all of them are empty."""
+    days = T.StructType([*schema.fields, T.StructField(LOAD_DAY, T.DateType())])
+    return spark.read.schema(days).parquet(path)

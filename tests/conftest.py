@@ -4,8 +4,8 @@ from hitloom.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8")
+def spark(tmp_path_factory):
+    session = local_session(str(tmp_path_factory.mktemp("shared")), "8")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -2,9 +2,18 @@ import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitloom.functions import flags, traffic
-from hitloom.functions.lookups import bag_field, bag_value, dimension_choices, event_long, event_text
+from hitloom.functions.lookups import (
+    bag_field,
+    bag_value,
+    chosen_dimension,
+    event_long,
+    event_text,
+    explode_repeats,
+    strict_lookups,
+)
 from hitloom.functions.texts import clean_text, joined
 from hitloom.schemas import DIMENSIONS, EVENT_PARAMS, ITEMS
 from tests.builders import bag, item
@@ -215,19 +224,30 @@ def test_effective_medium(spark, source, medium, gclid, expected):
 @pytest.mark.parametrize(
     "entries, expected",
     [
-        (None, [None]),
-        ([], [[]]),
-        ([(1, "a"), (2, "b")], [[(1, "a"), (2, "b")]]),
-        ([(1, "a"), (None, "n"), (None, "m"), (1, "c")], [[(1, "a")], [(1, "c")]]),
-        ([(9, "x"), (9, "y"), (1, "a")], [[(1, "a")]]),
-        (
-            [(1, "a"), (2, "b"), (1, "c"), (2, "d")],
-            [[(1, "a"), (2, "b")], [(1, "c"), (2, "b")], [(1, "a"), (2, "d")], [(1, "c"), (2, "d")]],
-        ),
-        ([(9, "x"), (9, "y")], [[]]),
+        (None, [(None, None)]),
+        ([], [(None, None)]),
+        ([(1, "a"), (2, "b")], [("a", "b")]),
+        ([(1, "a"), (None, "n"), (None, "m"), (1, "c")], [("a", None), ("c", None)]),
+        ([(9, "x"), (9, "y"), (1, "a")], [("a", None)]),
+        ([(1, "a"), (2, "b"), (1, "c"), (2, "d")], [("a", "b"), ("c", "b"), ("a", "d"), ("c", "d")]),
+        ([(1, None), (1, "a")], [(None, None), ("a", None)]),
+        ([(9, "x"), (9, "y")], [(None, None)]),
     ],
 )
-def test_dimension_choices(spark, entries, expected):
-    found = one(spark, dimension_choices(F.col("x"), [1, 2]), entries, DIMENSIONS.simpleString())
-    plain = [None if choice is None else [tuple(e) for e in choice] for choice in found]
-    assert sorted(plain, key=repr) == sorted(expected, key=repr)
+def test_repeated_dimensions_give_a_row_per_combination(spark, entries, expected):
+    frame = spark.createDataFrame([(entries,)], T.StructType([T.StructField("x", DIMENSIONS)]))
+    rows = explode_repeats(frame, F.col("x"), [1, 2])
+    found = rows.select(*[chosen_dimension(F.col("x"), [1, 2], i) for i in (1, 2)]).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+
+
+def test_strict_lookups_reach_every_lookup_built_inside(spark):
+    with strict_lookups():
+        wanted = event_text("k")
+    params = [("k", ("a", None, None, None)), ("k", ("b", None, None, None))]
+    schema = "event_params array<struct<key:string,value:struct<string_value:string,int_value:long,float_value:double,double_value:double>>>"
+    frame = spark.createDataFrame([(params,)], schema)
+    assert frame.select(event_text("k")).first()[0] == "a"
+    with pytest.raises(Exception, match="occurs more than once"):
+        frame.select(wanted).collect()
+

@@ -48,7 +48,8 @@ def brute_force(rows):
 
 def numbered(spark, rows, slice_micros):
     frame = spark.createDataFrame(rows, SCHEMA)
-    table = hit_table(frame, slice_micros, lowest=F.col("extra"))
+    second_micros = 1_000_000 if slice_micros > 1_000_000 else 1
+    table = hit_table(frame, slice_micros, second_micros, lowest=F.col("extra"))
     return as_bag(
         table, "visitId", "event_timestamp", "event_name", "hitNumber", "is_exit", "first_timestamp", "lowest"
     )

@@ -120,13 +120,32 @@ def test_quality_summary(spark):
     assert tuple(quality.summary(mart.where(F.lit(False)), ["k", "n"]).first()) == (0, 0, 0, 0, 0)
 
 
-def _session(folder, master):
+def _session(folder, of_context=None):
     conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="app"))
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getCheckpointDir=lambda: of_context))
 
 
 def test_shared_folder():
-    assert shared_folder(_session("/shared/tables/", "yarn")) == "/shared/tables"
+    assert shared_folder(_session("/shared/tables/", "/other")) == "/shared/tables"
+    assert shared_folder(_session(None, "/other")) == "/other"
     with pytest.raises(ValueError):
-        shared_folder(_session(None, "yarn"))
-    assert shared_folder(_session(None, "local[2]")) == shared_folder(_session(None, "local[2]"))
+        shared_folder(_session(None))
+
+
+def test_a_day_without_rows_is_emptied_and_others_stay(spark, tmp_path):
+    path, other = str(tmp_path / "mart"), datetime.date(2024, 1, 1)
+    full = spark.createDataFrame([("a",)], "text string")
+    empty = full.where(F.lit(False))
+    marts.write_mart(empty, path, DAY)
+    assert marts.read_mart(spark, path, full.schema).count() == 0
+    marts.write_mart(full, path, other)
+    marts.write_mart(full, path, DAY)
+    marts.write_mart(empty, path, DAY)
+    assert as_bag(marts.read_mart(spark, path, full.schema), "text", "load_day") == [("a", other)]
+
+
+def test_csv_and_parquet_trim_alike(spark, tmp_path):
+    mart = spark.createDataFrame([("\tx\x01 ",), ("\n",), ("a b",)], "text string")
+    marts.export_csv(mart, str(tmp_path / "csv"))
+    loaded = marts.load_csv(spark, str(tmp_path / "csv"), mart.schema)[0]
+    assert as_bag(loaded) == as_bag(marts.normalise_for_load(mart)) == sorted([("x",), (None,), ("a b",)], key=repr)
