@@ -100,5 +100,31 @@ def llm_queries() -> dict[str, Query]:
     }
 
 
+SITE_SPREAD_SQL = """
+WITH lines AS (
+    SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) AS place
+    FROM documents
+),
+beside AS (
+    SELECT line, source, coalesce(lag(line) OVER w, '') AS before, coalesce(lead(line) OVER w, '') AS after
+    FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY place)
+),
+places AS (SELECT line, before, after, count(*) AS n FROM beside WHERE trim(line) <> '' GROUP BY ALL),
+copied AS (SELECT line, sum(n) AS n, max(n) AS most FROM places GROUP BY line),
+spread AS (SELECT line, count(DISTINCT source) AS sites FROM lines GROUP BY line),
+boilerplate AS (SELECT line FROM copied JOIN spread USING (line) WHERE sites >= 8 AND most <= 0.3 * n),
+kept AS (
+    SELECT doc_id, string_agg(line, chr(10) ORDER BY place) AS text, count(*) AS n
+    FROM lines ANTI JOIN boilerplate USING (line) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
+    CAST(coalesce(len(string_split(d.text, chr(10))), 0) - coalesce(k.n, 0) AS BIGINT) AS n_removed_lines,
+    CASE WHEN d.text IS NOT NULL THEN md5(coalesce(k.text, '')) END AS kept_md5
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {}
+    """Where SQL can express the operator; the others are tested against brute force in tests/llm."""
+    return {"op9_site_spread": SITE_SPREAD_SQL}

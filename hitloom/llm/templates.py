@@ -143,15 +143,18 @@ def contaminated(
     items = items.select("item_id", "text")
     found = work.keep(matches(docs, items, window, work), "matches")
     key = ("text_hash", "item_id")
+    # Each alignment of text and item is judged by itself; the one with most slots counts.
     slots = (
-        found.select(*key, F.explode(F.arrays_zip("part", "item_raw", "doc_raw")).alias("slot"))
+        found.select(*key, (F.col("start") - F.col("at")).alias("shift"), F.explode(F.arrays_zip("part", "item_raw", "doc_raw")).alias("slot"))
         .where(_has_slot(F.col("slot.part")))
-        .groupBy(*key, F.col("slot.item_raw").alias("theirs"), F.col("slot.doc_raw").alias("ours"))
+        .groupBy(*key, "shift", F.col("slot.item_raw").alias("theirs"), F.col("slot.doc_raw").alias("ours"))
         .agg(F.count("*").alias("n"))
-        .groupBy(*key, "theirs")
+        .groupBy(*key, "shift", "theirs")
         .agg(F.max("n").alias("agree"), F.sum("n").alias("n"))
+        .groupBy(*key, "shift")
+        .agg(F.sum("n").alias("n"), (F.sum("agree") / F.sum("n")).alias("consistency"))
         .groupBy(*key)
-        .agg((F.sum("agree") / F.sum("n")).alias("consistency"))
+        .agg(F.max_by("consistency", F.struct("n", "consistency")).alias("consistency"))
     )
     counted = found.groupBy(*key).agg(F.count_distinct("at").alias("matched"))
     sizes = items.select("item_id", F.size(raw_words(F.col("text"))).alias("n_words")).groupBy("item_id").agg(F.max("n_words").alias("n_words"))
