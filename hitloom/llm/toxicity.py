@@ -106,7 +106,8 @@ def feature_runs(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.nda
 def fit_linear(x: np.ndarray, y: np.ndarray, settings: ChainSettings) -> np.ndarray:
     """Weights and a last bias of a logistic model, by gradient steps with adaptive rates."""
     w, first, second = np.zeros(x.shape[1] + 1), 0.0, 0.0
-    rate = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)) if len(y) else 0.0
+    share = y.mean() if len(y) else 0.0
+    rate = np.log((share + 1e-3) / (1 - share + 1e-3))
     w[-1] = rate
     if not len(y) or y.min() == y.max():
         return w
