@@ -446,8 +446,11 @@ def components(docs: DataFrame, like: Similarity) -> DataFrame:
         left, right = _payload_sets(ours, like), _payload_sets(theirs, like)
         space, forest, all_left = Space(left + right, like), Forest(len(left) + len(right)), np.arange(len(left))
         for j in range(len(left), len(left) + len(right)):
-            both = space.common(j, all_left)
-            for i in all_left[like.linked(both, space.n[all_left], space.n[j])]:
+            # Sets of too different sizes can't be linked.
+            n, m = space.n[all_left], space.n[j]
+            alike = all_left[(100 * n >= like.percent * m) & (100 * m >= like.percent * n)]
+            both = space.common(j, alike)
+            for i in alike[like.linked(both, space.n[alike], m)]:
                 forest.join(int(i), j)
         return [(i, j - len(left)) for i, j in forest.links]
 
