@@ -160,7 +160,7 @@ def pack_sizes(sizes: np.ndarray, capacity: int, steps: int = 4000) -> np.ndarra
 def pack(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: int = 2048, group_size: int = 16_000) -> DataFrame:
     """Every piece with its sequence and the place there.
 
-    ``group_size`` bounds what one task packs.  Full pieces are sequences of their own.
+    ``group_size`` is what one task packs, on average.  Full pieces are sequences of their own.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "packing")
@@ -197,8 +197,8 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: int = 2048
         if level > 1 and -(-fewer.count() // group_size) >= groups:  # no group can be filled better
             done = done.unionByName(packed.where(weak).drop("fill"))
             break
-    # A group has at most group_size bins; full pieces count downwards from -1.
-    number = F.when(F.col("bin_group") < 0, -1 - F.col("bin")).otherwise(F.col("bin_group") * group_size + F.col("bin"))
+    # Groups differ in size, so each has its own 32 bits of numbers; full pieces count downwards from -1.
+    number = F.when(F.col("bin_group") < 0, -1 - F.col("bin")).otherwise(F.shiftleft("bin_group", 32) + F.col("bin"))
     return done.withColumn("sequence_id", number).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "row"
     )

@@ -45,6 +45,13 @@ def test_all_pieces_once_and_gapless(spark, group_size):
         assert own["start"].tolist() == (own["length"].cumsum() - own["length"]).tolist()
 
 
+def test_groups_larger_than_the_average_have_sequences_of_their_own(spark):
+    docs = spark.createDataFrame([(i, "word " * 20) for i in range(60)], "doc_id long, text string")
+    packed = swap_packing.pack(docs, PATH, 0, 32, group_size=3).toPandas()
+    assert packed["length"].min() > 16 and packed["sequence_id"].nunique() == len(packed) == 60
+    assert (packed["offset"] == 0).all()
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert swap_packing.pack(docs, PATH, 0).count() == 0
