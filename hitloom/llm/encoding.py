@@ -27,17 +27,28 @@ class Encoder:
 
     The memory holds ``limit`` words at most; when it is full, only words seen in every eighth chunk of
     texts since the last time are kept.
+
+    With ``special_tokens``, the ids are the library's own: a special token's content in a text gets the
+    token's id.  Without, it is read like other text.
     """
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 800_000, special_tokens: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = not special_tokens
         self.vocabulary_size = self._tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.vocabulary_size <= 1 << 16 else "<u4")
+        # The library cuts texts at added tokens first, and each part then has pre-tokens of its own.
+        added = self._tokenizer.get_added_tokens_decoder().items()
+        added = [(token, i) for i, token in added if special_tokens or not token.special]
+        self._added = {token.content: np.array([i], self.dtype).tobytes() for token, i in added}
+        longest_first = sorted(map(re.escape, self._added), key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(longest_first) + ")")
+        plain = not any(token.lstrip or token.rstrip or token.single_word for token, _ in added)
+        self._cuttable = plain and self._tokenizer.normalizer is None
         self._limit = limit
         self._words: dict[str, bytes] = {}
 
@@ -102,6 +113,10 @@ class Encoder:
             yield from self._coded([text or "" for text in texts[at : at + together]])
 
     def _coded(self, texts: list[str]) -> list[np.ndarray]:
+        if any(content in text for content in self._added for text in texts):
+            if len(texts) > 1:
+                return [self._coded([text])[0] for text in texts]
+            return [np.frombuffer(self._with_added(texts[0]), self.dtype)]
         try:
             coded = self._joined([text.split(" ") for text in texts])
         except _Unclean:
@@ -110,6 +125,16 @@ class Encoder:
             coded = self._joined([_BLANK.split(texts[0])], bordered=True)
         return [np.frombuffer(one, self.dtype) for one in coded]
 
+    def _with_added(self, text: str) -> bytes:
+        """Ids of a text that holds added tokens."""
+        if not self._cuttable:
+            return self._ids(text)
+        parts = self._cut.split(text)
+        coded = iter(self._coded([part for part in parts[::2] if part]))
+        return b"".join(
+            self._added[part] if i % 2 else next(coded).tobytes() if part else b"" for i, part in enumerate(parts)
+        )
+
     def _first(self, word: str) -> bytes:
         return self._firsts[word] if word in self._firsts else self._ids(word)
 
@@ -147,5 +172,5 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """The encoder of this process for a tokenizer file; it must be on every executor."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, special_tokens=True)
     return _encoders[path]

@@ -71,3 +71,21 @@ def test_encoder_equals_the_library_however_small_its_memory(plain):
     for limit in (20, 100_000):
         for text, ids in zip(texts, Encoder(PATH, limit).encode_many(texts)):
             assert ids.tolist() == plain(text)
+
+
+def test_special_tokens_have_the_ids_of_the_library(spark, tmp_path):
+    library = Tokenizer.from_file(PATH)
+    expected = lambda text: library.encode(text, add_special_tokens=False).ids
+    assert 50256 in expected("a <|endoftext|> b")
+    pick = np.random.default_rng(4)
+    parts = [" ", " ", "\n", "a", "Bc", "'s", ".", ",", "\xa0", "中", "<|endoftext|>", "<|endoftext|>", "<|endoftext", "w" * 70]
+    texts = ["".join(pick.choice(parts, pick.integers(0, 40))) for _ in range(1500)]
+    for limit in (20, 100_000):
+        for text, ids in zip(texts, Encoder(PATH, limit, special_tokens=True).encode_many(texts)):
+            assert ids.tolist() == expected(text)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    token_files.write_token_files(docs, str(tmp_path), PATH, 2, 64, 4, 1)
+    rows = token_files.read_token_files(spark, str(tmp_path), 64).collect()
+    crcs = {r["doc_id"]: r["ids_crc32"] for r in rows}
+    assert crcs == {i: zlib.crc32(np.array([*expected(text), 2], "<u4").tobytes()) for i, text in enumerate(texts)}
