@@ -11,8 +11,11 @@ All strings of ``length`` bytes are judged: of equal ones, only the one that sta
   ties; they are resolved by the ranks of a difference-cover sample: positions whose distance from the
   anchor, modulo the period, is in a difference cover are ranked beforehand, and every suffix has one
   within reach.  Ranks are held for the sample only, and for one group of buckets at a time.
+* A bucket of more than ``SPANS_PER_SORT`` different spans, such as of a short line in many surroundings,
+  is not sorted as one: its strings are dealt out by their own hashes, and the first of equal ones stays.
 
-Hashes of spans are 64 bits wide; suffixes are compared by their bytes.
+Hashes of spans are 64 bits wide, those of a large bucket's strings 128; suffixes are compared by their
+bytes.
 
 Defined cases: missing and empty texts have nothing to remove, nor have texts shorter than ``length``;
 a missing doc_id counts as the smallest; rows of one doc_id with different texts are ordered by the
@@ -35,7 +38,8 @@ from hitloom.llm.workspace import Workspace, ship_code, shuffle_width
 
 GRAM = 24
 PERIOD = 32
-#: Bytes of text whose spans are held at once, and spans that one bucket should have.
+#: Bytes of text whose spans are held at once, spans that one bucket should have, and spans that are
+#: sorted at once; an anchor of more different spans is not sorted.
 RUN_BYTES = 3 << 20
 SPANS_PER_BUCKET = 200_000
 SPANS_PER_SORT = 4_000
@@ -257,9 +261,9 @@ def removed_intervals(docs: DataFrame, length: int, work: Workspace) -> DataFram
 
     settled = work.keep(keyed.mapInArrow(deal, DEALT).groupBy("bucket").applyInArrow(settle_bucket, SETTLED), "settled")
     mixed = settled.where(F.col("lead") >= 0)
-    # As many as the document has spans.
-    asked = mixed.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "size", "anchor", "lead")).alias("spans"))
-    texts = keyed.join(asked, ["doc", "tie"])
+    large = mixed.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > SPANS_PER_SORT).select("anchor")
+    large = work.keep(large, "large")
+    sorted_spans = mixed.join(large, "anchor", "left_anti")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,7 +285,12 @@ def removed_intervals(docs: DataFrame, length: int, work: Workspace) -> DataFram
                     names=["doc", "tie", "start", "anchor", "lead", "span"],
                 )
 
-    cut_schema = "doc long, tie long, start long, anchor long, lead int, span binary"
+    def with_bytes(some: DataFrame) -> DataFrame:
+        # As many as the document has spans.
+        asked = some.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "size", "anchor", "lead")).alias("spans"))
+        schema = "doc long, tie long, start long, anchor long, lead int, span binary"
+        return keyed.join(asked, ["doc", "tie"]).mapInArrow(cut, schema)
+
     sort_buckets = max(shuffle_width(spark), mixed.count() // (4 * SPANS_PER_SORT) + 1)
 
     def compare(table: pa.Table) -> pa.Table:
@@ -312,9 +321,34 @@ def removed_intervals(docs: DataFrame, length: int, work: Workspace) -> DataFram
 
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(sort_buckets))
     compared = (
-        texts.mapInArrow(cut, cut_schema).groupBy(bucket.alias("bucket")).applyInArrow(compare, "doc long, tie long, start long, size long")
+        with_bytes(sorted_spans).groupBy(bucket.alias("bucket")).applyInArrow(compare, "doc long, tie long, start long, size long")
+    )
+    gone = settled.where(F.col("lead") < 0).select("doc", "tie", "start", "size").unionByName(work.keep(compared, "compared"))
+    if large.isEmpty():
+        return gone
+    strings = work.keep(strings_of(with_bytes(mixed.join(large, "anchor", "left_semi")), length), "strings")
+    return gone.unionByName(work.keep(repeated_strings(strings, length), "repeated"))
+
+
+def strings_of(spans: DataFrame, length: int) -> DataFrame:
+    """Every string of the spans, by two hashes of 64 bits: doc, tie, start, h0, h1."""
+    offsets = F.sequence(F.lit(0), F.octet_length("span") - length)
+    string = F.substr("span", F.col("offset") + 1, F.lit(length))
+    return spans.select("doc", "tie", "start", "span", F.explode(offsets).alias("offset")).select(
+        "doc",
+        "tie",
+        (F.col("start") + F.col("offset")).alias("start"),
+        F.xxhash64(F.lit(0), string).alias("h0"),
+        F.xxhash64(F.lit(1), string).alias("h1"),
     )
-    return settled.where(F.col("lead") < 0).select("doc", "tie", "start", "size").unionByName(work.keep(compared, "compared"))
+
+
+def repeated_strings(strings: DataFrame, length: int) -> DataFrame:
+    """All but the first of equal strings: doc, tie, start, size."""
+    place = F.struct("doc", "tie", "start")
+    first = strings.groupBy("h0", "h1").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    again = strings.join(first, ["h0", "h1"]).where(place > F.col("first"))
+    return again.select("doc", "tie", "start", F.lit(length).cast("long").alias("size"))
 
 
 def text_runs(column: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:

@@ -51,6 +51,24 @@ def test_equals_brute_force(spark, seed, length):
     assert found == brute(rows, length)
 
 
+def test_a_short_line_in_many_surroundings_is_not_sorted_at_once(spark, monkeypatch):
+    sort = cover_dedup.sort_bucket
+
+    def bounded(spans, *rest):
+        assert len(spans) < 40
+        return sort(spans, *rest)
+
+    monkeypatch.setattr(cover_dedup, "SPANS_PER_SORT", 20)
+    monkeypatch.setattr(cover_dedup, "sort_bucket", bounded)
+    pick = random.Random(8)
+    own = lambda: "".join(pick.choice("abcdefgh ") for _ in range(150))
+    line, passage = own()[:53], own()[:110]
+    rows = [(i, own() + line + own() + (passage + own() if i % 3 == 0 else "")) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r[0]: tuple(r)[1:] for r in cover_dedup.deduplicate(docs).collect()}
+    assert found == brute(rows, 100) and sum(r[1] > 0 for r in found.values()) == 66
+
+
 def test_very_long_texts_are_cut_without_losing_a_string(spark, monkeypatch):
     monkeypatch.setattr(cover_dedup, "RUN_BYTES", 500)
     rows = [(i, text) for i, text in enumerate(texts(5))]
