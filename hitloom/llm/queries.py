@@ -14,11 +14,14 @@ from hitloom.llm import (
     metric_join,
     projections,
     site_spread,
+    source_divergence,
     subword_quality,
     swap_packing,
     templates,
+    token_counts,
     token_files,
     toxicity,
+    whitening,
 )
 from hitloom.llm.workspace import Workspace
 
@@ -26,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "byte_bpe_50k.json"
 SEQUENCE_LENGTH = 2048
+COUNTED_TOKENIZER = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +90,21 @@ def op10_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A new cache for each run, so that a run's rows and work do not depend on those before it.
+    cache = Workspace(spark, "token-cache").folder("counts")
+    counted = token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(COUNTED_TOKENIZER), cache)
+    return counted.select("*", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=8)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(documents(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
@@ -97,6 +117,9 @@ def llm_queries() -> dict[str, Query]:
         "op8_cover_dedup": op8_cover_dedup,
         "op9_site_spread": op9_site_spread,
         "op10_metric_join": op10_metric_join,
+        "op11_token_counts": op11_token_counts,
+        "op12_whitening": op12_whitening,
+        "op13_source_divergence": op13_source_divergence,
     }
 
 
@@ -125,6 +148,50 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
 
+SOURCE_DIVERGENCE_SQL = """
+WITH plain AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+    FROM documents
+),
+words AS (SELECT doc, lang, source, unnest(terms) AS term FROM plain),
+langs AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM words GROUP BY ALL HAVING count(DISTINCT doc) >= 3),
+lang_totals AS (SELECT lang, sum(n) AS n, CAST(count(*) AS HUGEINT) AS v FROM langs GROUP BY lang),
+held AS (
+    SELECT w.lang, w.source, w.term, CAST(count(*) AS HUGEINT) AS n
+    FROM words w JOIN langs l ON w.lang = l.lang AND w.term = l.term GROUP BY ALL
+),
+sources AS (
+    SELECT s.lang, s.source, coalesce(h.n, 0) AS n, coalesce(t.v, 0) AS v
+    FROM (SELECT DISTINCT lang, source FROM plain) s
+    LEFT JOIN (SELECT lang, source, sum(n) AS n FROM held GROUP BY ALL) h ON s.lang = h.lang AND s.source = h.source
+    LEFT JOIN lang_totals t ON s.lang = t.lang
+),
+shares AS (
+    SELECT s.lang, s.source, l.term, coalesce(h.n, 0) AS own,
+        1 + 1000000000 * (coalesce(h.n, 0) + 1) // (s.n + s.v) AS p,
+        1 + 1000000000 * (l.n + 1) // (t.n + t.v) AS q
+    FROM sources s JOIN langs l ON s.lang = l.lang JOIN lang_totals t ON s.lang = t.lang
+    LEFT JOIN held h ON h.lang = s.lang AND h.source = s.source AND h.term = l.term
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+rows AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+    FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE own > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     """Where SQL can express the operator; the others are tested against brute force in tests/llm."""
-    return {"op9_site_spread": SITE_SPREAD_SQL}
+    return {"op9_site_spread": SITE_SPREAD_SQL, "op13_source_divergence": SOURCE_DIVERGENCE_SQL}
