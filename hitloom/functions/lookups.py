@@ -79,31 +79,49 @@ def dimension_values(entries: Column, index: int) -> Column:
     return F.transform(F.filter(entries, lambda entry: entry["index"] == index), lambda entry: entry["value"])
 
 
-def dimension_counts(entries: Column, indexes: Sequence[int]) -> Column:
-    """How many rows each of the dimensions asks for: its values in the row, at least one."""
-    return F.array(*[F.greatest(F.size(dimension_values(entries, index)), F.lit(1)).cast("long") for index in indexes])
+def dimension_groups(entries: Column, indexes: Sequence[int]) -> Column:
+    """The wanted dimensions that are given, each once with all its values."""
+    wanted = F.array(*[F.lit(index).cast("long") for index in indexes])
+    return F.transform(
+        F.array_intersect(entries["index"], wanted),
+        lambda index: F.struct(
+            index.alias("index"),
+            F.transform(F.filter(entries, lambda e: e["index"] == index), lambda e: e["value"]).alias("values"),
+        ),
+    )
+
+
+def _pick(groups: Column, choice: Column) -> Column:
+    """One value of each group; the choice is read like a clock that has a digit per group."""
+    nothing = F.struct(
+        F.lit(1).cast("long").alias("turns"),
+        F.array().cast("array<struct<index:bigint,value:string>>").alias("picked"),
+    )
+
+    def turn(clock: Column, group: Column) -> Column:
+        values = group["values"]
+        at = F.call_function("div", choice, clock["turns"]) % F.size(values)
+        entry = F.struct(group["index"].alias("index"), F.get(values, at.cast("int")).alias("value"))
+        return F.struct(
+            (clock["turns"] * F.size(values)).alias("turns"),
+            F.concat(clock["picked"], F.array(entry)).alias("picked"),
+        )
+
+    return F.aggregate(groups, nothing, turn, lambda clock: clock["picked"])
 
 
 def explode_repeats(rows: DataFrame, entries: Column, indexes: Sequence[int]) -> DataFrame:
-    """Add ``choice``: one row per combination of the values of repeated dimensions, numbered from 0.
+    """Add ``chosen``: the dimensions with one value each, in one row per combination of repeated ones.
 
-    Almost always there is exactly one.  Only the numbers are made at once, not the combinations.
+    Almost always there is exactly one row, and ``chosen`` is the array itself.  Otherwise the values are
+    grouped by dimension once per row.  Only the combinations' numbers are made at once, and each row
+    picks its own values by number, so the expression does not grow with the number of dimensions.
     """
     repeated = F.size(F.array_distinct(entries["index"])) < F.size(entries)
-    product = F.reduce(dimension_counts(entries, indexes), F.lit(1).cast("long"), lambda a, b: a * b)
-    numbers = F.when(repeated, F.sequence(F.lit(0).cast("long"), product - 1)).otherwise(F.array(F.lit(0).cast("long")))
-    return rows.select("*", repeated.alias("repeats"), F.explode(numbers).alias("choice"))
-
-
-def chosen_dimension(entries: Column, indexes: Sequence[int], index: int) -> Column:
-    """The dimension's value in a row's ``choice``; its number is read like a clock with a digit per dimension."""
-    place = list(indexes).index(index)
-    turns = F.reduce(
-        dimension_counts(entries, list(indexes)[:place]) if place else F.array(F.lit(1).cast("long")),
-        F.lit(1).cast("long"),
-        lambda a, b: a * b,
-    )
-    values = dimension_values(entries, index)
-    digit = F.expr("choice").cast("long")
-    at = F.floor(digit / turns) % F.greatest(F.size(values), F.lit(1))
-    return F.when(F.col("repeats"), F.get(values, at.cast("int"))).otherwise(dimension(entries, index))
+    grouped = rows.select("*", F.when(repeated, dimension_groups(entries, indexes)).alias("groups"))
+    groups, first = F.col("groups"), F.array(F.lit(0).cast("long"))
+    rows_needed = F.aggregate(groups, F.lit(1).cast("long"), lambda n, group: n * F.size(group["values"]))
+    numbers = F.when(groups.isNotNull(), F.sequence(F.lit(0).cast("long"), rows_needed - 1)).otherwise(first)
+    numbered = grouped.select("*", F.explode(numbers).alias("choice"))
+    chosen = F.when(groups.isNotNull(), _pick(groups, F.col("choice"))).otherwise(entries)
+    return numbered.select(*rows.columns, chosen.alias("chosen"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.functions.lookups import chosen_dimension, dimension_values, explode_repeats
+from hitloom.functions.lookups import dimension, dimension_values, explode_repeats
 from hitloom.functions.texts import joined
 
 # Output column -> custom dimension of the hit.
@@ -191,19 +191,22 @@ def hits(sessions: DataFrame) -> DataFrame:
     A custom dimension given more than once in a hit gives a row per value.
     """
     hit = F.col("hit")
-    entries, indexes = hit["customDimensions"], list(HIT_DIMENSIONS.values())
-    rows = explode_repeats(explode_hits(sessions), entries, indexes)
-    columns = {
-        "visitId": F.col("visitId"),
-        "fullVisitorId": F.col("fullVisitorId"),
+    fields = {
         **{name: _field(hit, path) for name, path in HIT_FIELDS.items()},
-        **{name: chosen_dimension(entries, indexes, index) for name, index in HIT_DIMENSIONS.items()},
         **{
             name: joined(hit[array], field, by, drop_not_set=False)
             for name, (array, field, by) in HIT_LISTS.items()
         },
     }
-    distinct = rows.select(*[column.alias(name) for name, column in columns.items()]).distinct()
+    rows = explode_hits(sessions).select(
+        "visitId",
+        "fullVisitorId",
+        *[column.alias(name) for name, column in fields.items()],
+        hit["customDimensions"].alias("dimensions"),
+    )
+    chosen = explode_repeats(rows, F.col("dimensions"), list(HIT_DIMENSIONS.values()))
+    dimensions = [dimension(F.col("chosen"), index).alias(name) for name, index in HIT_DIMENSIONS.items()]
+    distinct = chosen.select("visitId", "fullVisitorId", *fields, *dimensions).distinct()
     return distinct.select(*[F.col(REPEATED_FIELDS.get(name, name)).alias(name) for name in HIT_LAYOUT])
 
 

@@ -8,7 +8,7 @@ from hitloom.functions import flags, traffic
 from hitloom.functions.lookups import (
     bag_field,
     bag_value,
-    chosen_dimension,
+    dimension,
     event_long,
     event_text,
     explode_repeats,
@@ -237,8 +237,19 @@ def test_effective_medium(spark, source, medium, gclid, expected):
 def test_repeated_dimensions_give_a_row_per_combination(spark, entries, expected):
     frame = spark.createDataFrame([(entries,)], T.StructType([T.StructField("x", DIMENSIONS)]))
     rows = explode_repeats(frame, F.col("x"), [1, 2])
-    found = rows.select(*[chosen_dimension(F.col("x"), [1, 2], i) for i in (1, 2)]).collect()
-    assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+    found = rows.select(*[dimension(F.col("chosen"), i) for i in (1, 2)]).collect()
+    assert rows.columns == ["x", "chosen"] and sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+
+
+def test_repeated_dimensions_plan_grows_with_each_dimension_alike(spark):
+    frame = spark.createDataFrame([], T.StructType([T.StructField("x", DIMENSIONS)]))
+
+    def size(n: int) -> int:
+        rows = explode_repeats(frame, F.col("x"), range(n))
+        rows = rows.select(*[dimension(F.col("chosen"), i) for i in range(n)])
+        return len(rows._jdf.queryExecution().optimizedPlan().toString())
+
+    assert size(41) - size(21) < 1.2 * (size(21) - size(1))
 
 
 def test_strict_lookups_reach_every_lookup_built_inside(spark):
