@@ -552,6 +552,7 @@ def all_oracles() -> dict[str, str]:
         "create_channel": _per_event(channel=_channel(*raw_channel), lower_channel=_channel(*lower_channel)),
         "channel_grouping": _per_event(channel_group=_group(_channel(*raw_channel))),
         "channel_null_guard": _per_event(channel_group=_guarded(*raw_channel)),
+        "sql_functions": _visits_basic(fixed.BASIC_LAYOUT),
         "distinct_rows": _ga4("SELECT DISTINCT event_timestamp, event_name, user_pseudo_id, platform FROM ga4_events"),
         "event_dedup": _visited(f"{per_hit} FROM visited"),
         "hit_number": _numbered(f"{per_hit}, hitNumber FROM events_numbered"),

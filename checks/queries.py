@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import exports
-from hitloom.functions import flags, traffic
+from hitloom.functions import catalogue, flags, traffic
 from hitloom.functions.lookups import bag_value, event_long, event_text, user_text
 from hitloom.functions.texts import clean_text, joined, null_if, without_not_set
 from hitloom.operators import hit_numbers, items, visit_metrics
@@ -330,6 +330,66 @@ def channel_null_guard(events):
     return events.select(*EVENT, traffic.channel_group_or_null(*_traffic_parts()).alias("channel_group"))
 
 
+def _quoted(texts) -> str:
+    return ", ".join(f"'{text}'" for text in texts)
+
+
+#: The basic visits mart as a user writes it in SQL, calling the functions by name.
+VISITS_SQL = f"""
+WITH named AS (
+    SELECT *, concat(user_pseudo_id, get_event('ga_session_id', event_params).int_value) AS visitId,
+        lower(collected_traffic_source.manual_medium) AS medium
+    FROM {{events}} WHERE user_pseudo_id IS NOT NULL
+),
+visited AS (SELECT * FROM named WHERE visitId IS NOT NULL),
+first_events AS (
+    SELECT visitId, min(struct(
+        event_timestamp, event_name, user_pseudo_id AS fullVisitorId, to_date(event_date, 'yyyyMMdd') AS date_5,
+        CASE WHEN lower(platform) = 'web' THEN 'Website' WHEN lower(platform) IN ('android', 'ios') THEN 'App' END
+            AS platform_id_10,
+        collected_traffic_source.manual_campaign_id AS acq_channel_id_12, device.category AS device_category_24,
+        geo.country AS country_name_30, get_event('country', event_params).string_value AS country_code_uefa_30,
+        CASE WHEN lower(collected_traffic_source.manual_source) = 'google' AND medium = 'organic'
+            AND collected_traffic_source.gclid IS NOT NULL THEN 'cpc' ELSE medium END AS Custom_Acq_Channel_Name,
+        collected_traffic_source.manual_campaign_name AS Campaign_56,
+        collected_traffic_source.manual_source AS Traffic_Source_62, geo.city AS City_Name_65
+    )) AS first
+    FROM visited GROUP BY visitId
+),
+events AS (
+    SELECT visitId, event_timestamp, event_name, event_timestamp IS NOT NULL AND event_name IS NOT NULL AS complete,
+        max(coalesce(lower(get_user('login_status', user_properties).string_value) IN ({_quoted(flags.LOGGED_IN)}),
+            FALSE)) AS logged_in
+    FROM visited GROUP BY visitId, event_timestamp, event_name
+),
+metrics AS (
+    SELECT visitId, (max(event_timestamp) - min(event_timestamp)) / 1000000 AS duration, count_if(complete) AS hits,
+        max(coalesce(event_name IN ({_quoted(flags.FIRST_EVENTS)}), FALSE)) AS newVisits,
+        count_if(complete AND event_name = 'page_view') AS pageviews_44,
+        count_if(complete AND event_name = 'screen_view') AS screenviews_44, max(logged_in) AS nbr_loggedin_user_46,
+        CAST(max(coalesce(event_name NOT IN ({_quoted(flags.PASSIVE_EVENTS)}), FALSE)) AS BIGINT) AS total_visit_51
+    FROM events GROUP BY visitId
+)
+SELECT first.fullVisitorId, visitId, first.date_5, first.platform_id_10, first.acq_channel_id_12,
+    channel_grouping(create_channel(
+        first.Custom_Acq_Channel_Name, lower(first.Campaign_56), lower(first.Traffic_Source_62))) AS channel_name_13,
+    first.device_category_24, first.country_name_30, first.country_code_uefa_30, first.Custom_Acq_Channel_Name,
+    first.Campaign_56, first.Traffic_Source_62, first.City_Name_65, CAST(NULL AS STRING) AS City_ID_64, hits, newVisits,
+    pageviews_44, screenviews_44, nbr_loggedin_user_46, total_visit_51,
+    CASE WHEN first.platform_id_10 = 'Website' THEN duration END AS timeonesite,
+    CASE WHEN first.platform_id_10 = 'App' THEN duration END AS timeOnScreen
+FROM first_events JOIN metrics USING (visitId)
+"""
+
+
+@on_events
+def sql_functions(events):
+    """A whole mart from SQL text that calls the registered functions."""
+    spark = events.sparkSession
+    catalogue.register(spark)
+    return spark.sql(VISITS_SQL, events=events)
+
+
 # --- hit numbers ------------------------------------------------------------------------------------
 
 

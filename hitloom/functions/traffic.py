@@ -23,9 +23,13 @@ REFERRAL_MEDIUM = ("referral", "app", "link")
 KEPT_GROUPS = ("direct", "organic search", "referral", "social", "paid search", "email", "display")
 
 
+def exact_pattern(pattern: str) -> str:
+    """UNIX_LINES and \\z: "." stops at a line feed only and "$" means the very end of the text."""
+    return "(?d)" + pattern.replace("$", r"\z")
+
+
 def _matches(text: Column, pattern: str) -> Column:
-    # UNIX_LINES and \z: "." stops at \n only and "$" means the very end of the text.
-    return text.rlike("(?d)" + pattern.replace("$", r"\z"))
+    return text.rlike(exact_pattern(pattern))
 
 
 def channel(medium: Column, campaign: Column, source: Column) -> Column:
