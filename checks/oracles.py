@@ -471,6 +471,9 @@ def all_oracles() -> dict[str, str]:
         "ga4_products": _numbered(PRODUCTS),
         "ga4_promos": _promotions(fixed.PROMOTION_LAYOUT),
         "ga4_promos_basic": _promotions([c for c in fixed.PROMOTION_LAYOUT if c != "date_5"]),
+        "shared_day_hits": _hits(fixed.HITS_LAYOUT),
+        "shared_day_products": _numbered(PRODUCTS),
+        "shared_day_promos": _promotions(fixed.PROMOTION_LAYOUT),
         "ua_hits": _ua_hits(*fixed.UA_HIT_LAYOUT),
         "ua_visits": _ua_visits(*fixed.UA_VISIT_LAYOUT),
         "ua_promotions": _ua(UA_PROMOTIONS),

@@ -16,7 +16,7 @@ from hitloom.functions.texts import clean_text, joined, null_if, without_not_set
 from hitloom.operators import hit_numbers, items, visit_metrics
 from hitloom.operators.first_touch import first_row, first_touch
 from hitloom.operators.visit_keys import HIT_KEY, event_id, hit_key, visit_id, with_visits
-from hitloom.plans import daily, hits, products, quality, sessions, visits
+from hitloom.plans import daily, hits, products, quality, sessions, shared_day, visits
 from hitloom.session import apply_settings
 from hitloom.sources import marts
 
@@ -63,6 +63,27 @@ _on_sessions["ua_visits"] = sessions.visits
 _on_sessions["ua_promotions"] = sessions.promotions
 
 
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbered = shared_day.numbered_hits(exports.ga4(spark, sf_dir))
+    path = exports.write_once(spark, sf_dir, "numbered_hits", lambda path: numbered.write.mode("overwrite").parquet(path))
+    return spark.read.schema(numbered.schema).parquet(path)
+
+
+@on_files
+def shared_day_hits(spark, sf_dir):
+    return shared_day.hits(_numbered(spark, sf_dir))
+
+
+@on_files
+def shared_day_products(spark, sf_dir):
+    return shared_day.products(_numbered(spark, sf_dir))
+
+
+@on_files
+def shared_day_promos(spark, sf_dir):
+    return shared_day.promotions(_numbered(spark, sf_dir))
+
+
 # --- sources and sinks ------------------------------------------------------------------------------
 
 

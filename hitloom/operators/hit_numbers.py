@@ -93,7 +93,9 @@ def hit_table(
             *[F.min(name).over(visit).alias(name) for name in ("first_timestamp", *visit_lowest)],
         )
     )
-    before = seconds.select("visitId", "second", "slice", "before_in_slice").join(slices, ["visitId", "slice"]).drop("slice")
+    of_second = [F.col(name).alias(f"second_{name}") for name in visit_lowest]
+    placed_seconds = seconds.select("visitId", "second", "slice", "before_in_slice", *of_second)
+    before = placed_seconds.join(slices, ["visitId", "slice"]).drop("slice")
 
     number = F.col("events_before") + F.col("before_in_slice") + F.col("rank_in_second")
     closes_visit = (F.col("second") == F.col("last_second")) & (F.col("rank_in_second") == F.col("last_complete"))
@@ -104,9 +106,9 @@ def hit_table(
         F.when(is_complete(), number).alias("hitNumber"),
         F.when(is_complete(), closes_visit).alias("is_exit"),
         "first_timestamp",
-        # Always the visit's value.  Naming the event's own keeps it in both branches, so that they
-        # read one and the same shuffle of the distinct events instead of scanning twice.
-        *[F.coalesce(name, f"own_{name}").alias(name) for name in visit_lowest],
+        # Always the visit's value.  Naming those of the event and its second keeps them in all branches,
+        # so that these read one and the same shuffle of the distinct events instead of scanning again.
+        *[F.coalesce(name, f"second_{name}", f"own_{name}").alias(name) for name in visit_lowest],
     )
 
 

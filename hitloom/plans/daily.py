@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
@@ -10,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitloom.plans import hits, products, quality, sessions, visits
+from hitloom.plans import hits, products, quality, sessions, shared_day, visits
+from hitloom.session import shared_folder
 from hitloom.sources import exports, marts
 
 
@@ -59,6 +61,31 @@ def load_day(spark: SparkSession, name: str, source: str, target: str, day: date
     return _replace(spark, name, build_day(spark, name, source, day), target, day)
 
 
+def build_ga4_day(spark: SparkSession, source: str, day: date | None = None) -> dict[str, DataFrame]:
+    """All event-based marts of one day: hits, products and promotions share one table of numbered hits.
+
+    That table is written to the session's shared folder when this is called, so that the marts read
+    files that every executor sees instead of numbering the hits again.
+    """
+    events = exports.ga4_events(spark, source, day or exports.yesterday())
+    path = f"{shared_folder(spark)}/numbered-hits-{uuid.uuid4().hex}"
+    numbered = shared_day.numbered_hits(events)
+    numbered.write.parquet(path)
+    numbered = spark.read.schema(numbered.schema).parquet(path)
+    return {
+        "ga4_hits": hits.target_layout(shared_day.hits(numbered)),
+        "ga4_visits": MARTS["ga4_visits"].build(events),
+        "ga4_products": shared_day.products(numbered),
+        "ga4_promos": shared_day.promotions(numbered),
+    }
+
+
+def load_ga4_day(spark: SparkSession, source: str, target: str, day: date | None = None) -> dict[str, DataFrame]:
+    """Build all event-based marts of one day together and replace it in each; returns their summaries."""
+    day = day or exports.yesterday()
+    return {name: _replace(spark, name, mart, target, day) for name, mart in build_ga4_day(spark, source, day).items()}
+
+
 def export_day(
     spark: SparkSession, name: str, source: str, target: str, day: date | None = None, rows_per_file: int = 0
 ) -> str:
