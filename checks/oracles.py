@@ -447,6 +447,12 @@ REJECTED = """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS label,
 FROM events WHERE event_id % 8 = 5"""
 
 
+REJECTED_ORIGIN = """SELECT CAST(event_id AS VARCHAR) AS event_id,
+    CASE event_id % 8 WHEN 5 THEN 'abc' END AS user_id,
+    CASE event_id % 8 WHEN 5 THEN 'user_id is no bigint' ELSE 'short row' END AS reason, TRUE AS origin_known
+FROM events WHERE event_id % 8 IN (3, 5)"""
+
+
 def all_oracles() -> dict[str, str]:
     visit_event = "visitId, event_timestamp, event_name"
     per_hit = f"SELECT DISTINCT {visit_event}"
@@ -484,12 +490,22 @@ def all_oracles() -> dict[str, str]:
         "csv_roundtrip": _numbered(PRODUCTS),
         "csv_load": UNTIDY,
         "csv_load_rejected": REJECTED,
+        "csv_rejected_origin": REJECTED_ORIGIN,
+        "mart_backfill": _ua(
+            " UNION ALL ".join(
+                f"{LOADED_PROMOTIONS}, DATE '{day}' AS load_day FROM ({UA_PROMOTIONS.replace('FROM ga_sessions', of_day)})"
+                for day, of_day in (
+                    ("2024-01-15", "FROM ga_sessions WHERE date = '20240115'"),
+                    ("2024-01-16", "FROM ga_sessions WHERE date = '20240116'"),
+                )
+            )
+        ),
         "mart_day_overwrite": _ua(
             f"{LOADED_PROMOTIONS}, DATE '2024-01-15' AS load_day FROM ({UA_PROMOTIONS}) UNION ALL "
-            f"{LOADED_PROMOTIONS}, DATE '2024-01-16' AS load_day FROM ({UA_PROMOTIONS}) WHERE hitNumber % 3 = 0"
+            f"{LOADED_PROMOTIONS}, DATE '2024-01-16' AS load_day FROM ({UA_PROMOTIONS})"
         ),
         "mart_day_emptied": _ua(
-            f"{LOADED_PROMOTIONS}, DATE '2024-01-16' AS load_day FROM ({UA_PROMOTIONS}) WHERE hitNumber % 3 = 0"
+            f"{LOADED_PROMOTIONS}, DATE '2024-01-16' AS load_day FROM ({UA_PROMOTIONS})"
         ),
         "csv_day_load": _numbered(f"SELECT *, DATE '2024-01-15' AS load_day FROM ({PRODUCTS})"),
         "hits_target_projection": _hits(fixed.TARGET_LAYOUT),

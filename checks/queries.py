@@ -148,18 +148,41 @@ def csv_load(spark, sf_dir):
 
 @on_files
 def csv_load_rejected(spark, sf_dir):
-    return marts.load_csv(spark, _untidy_csv(spark, sf_dir), RAW_SCHEMA)[1]
+    return marts.load_csv(spark, _untidy_csv(spark, sf_dir), RAW_SCHEMA)[1].select(*RAW_SCHEMA.names)
+
+
+@on_files
+def csv_rejected_origin(spark, sf_dir):
+    """Rejected rows, short ones too, with their reason, and whether file and record are known."""
+    rejected = marts.load_csv(spark, _untidy_csv(spark, sf_dir), RAW_SCHEMA, reject_short=True)[1]
+    known = F.col("file").endswith(".gz") & (F.col("record") >= 1)
+    return rejected.select("event_id", "user_id", "reason", known.alias("origin_known"))
+
+
+@on_files
+def mart_backfill(spark, sf_dir):
+    """Three days loaded by one write over an older state; the last has no rows any more."""
+    days = [DAY, NEXT_DAY, date(2030, 1, 1)]
+
+    def write(path):
+        daily.load_day(spark, "ua_promotions", exports.ua_path(spark, sf_dir), path, DAY)
+        old = marts.read_mart(spark, f"{path}/promotions", sessions.promotions(exports.ua(spark, sf_dir)).schema)
+        marts.write_mart(old.drop(marts.LOAD_DAY), f"{path}/promotions", days[2])
+        daily.backfill(spark, "ua_promotions", exports.ua_path(spark, sf_dir), path, days)
+
+    path = exports.write_once(spark, sf_dir, "promotions_backfill", write)
+    return marts.read_mart(spark, f"{path}/promotions", sessions.promotions(exports.ua(spark, sf_dir)).schema)
 
 
 @on_files
 def mart_day_overwrite(spark, sf_dir):
-    """Two days; the first is written with a part of its rows, then with all."""
+    """Two days; the first is written with other values, then as it is."""
     return _promotion_days(spark, sf_dir, "promotions_mart", lambda mart: mart)
 
 
 @on_files
 def mart_day_emptied(spark, sf_dir):
-    """Two days; the first is written with a part of its rows, then with none."""
+    """Two days; the first is written with other values, then with no rows."""
     return _promotion_days(spark, sf_dir, "promotions_emptied", lambda mart: mart.where(F.lit(False)))
 
 
@@ -167,8 +190,8 @@ def _promotion_days(spark, sf_dir, table, rebuilt):
     mart = sessions.promotions(exports.ua(spark, sf_dir))
 
     def write(path):
-        marts.write_mart(mart.where("hitNumber % 2 = 0"), path, DAY)
-        marts.write_mart(mart.where("hitNumber % 3 = 0"), path, NEXT_DAY)
+        marts.write_mart(mart.withColumn("promoName", F.lit("before")), path, DAY)
+        marts.write_mart(mart, path, NEXT_DAY)
         marts.write_mart(rebuilt(mart), path, DAY)
 
     return marts.read_mart(spark, exports.write_once(spark, sf_dir, table, write), mart.schema)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,25 @@ def load_day(spark: SparkSession, name: str, source: str, target: str, day: date
     return _replace(spark, name, build_day(spark, name, source, day), target, day)
 
 
+def backfill(
+    spark: SparkSession, name: str, source: str, target: str, days: Sequence[date], at_once: int = 16
+) -> DataFrame:
+    """Build several days and replace them in the Parquet mart below ``target``; their rows by day.
+
+    Each day is built by itself, as a single run does, so visits do not run on over midnight.  Up to
+    ``at_once`` days are written by one job, which keeps the cluster busy where days are small.
+    """
+    mart = MARTS[name]
+    path, days = f"{target}/{mart.folder}", sorted(set(days))
+    for at in range(0, len(days), at_once):
+        some = days[at : at + at_once]
+        parts = [build_day(spark, name, source, day).withColumn(marts.LOAD_DAY, F.lit(day)) for day in some]
+        marts.write_days(reduce(DataFrame.unionByName, parts), path, some)
+    schema = build_day(spark, name, source, days[0]).schema if days else T.StructType()
+    written = marts.read_mart(spark, path, schema).where(F.col(marts.LOAD_DAY).isin(*days))
+    return written.groupBy(marts.LOAD_DAY).agg(F.count("*").alias("row_count"))
+
+
 def build_ga4_day(spark: SparkSession, source: str, day: date | None = None) -> dict[str, DataFrame]:
     """All event-based marts of one day: hits, products and promotions share one table of numbered hits.
 
@@ -100,8 +120,8 @@ def load_exported_day(
 ) -> DataFrame:
     """Load a day's exported CSV files into the mart below ``target``, going on past bad rows.
 
-    Rows with a field that does not fit ``schema`` go, as text, to the mart's folder below
-    ``quarantine``; both replace what the day had before.  Returns the summary of what was written.
+    Rows that do not fit ``schema`` go, as text with their file, record and reason, to the mart's folder
+    below ``quarantine``; both replace what the day had before.  Returns the summary of what was written.
     """
     good, rejected = marts.load_csv(spark, files, schema)
     rejected.write.mode("overwrite").parquet(f"{quarantine}/{MARTS[name].folder}/{marts.LOAD_DAY}={day}")

@@ -51,3 +51,17 @@ def test_csv_and_parquet_hold_the_same(spark, sources, tmp_path):
 def test_default_day_is_yesterday(spark, sources):
     assert daily.build_day(spark, "ua_visits", sources["ua"]).count() == 0
     assert exports.yesterday() == datetime.date.today() - datetime.timedelta(days=1)
+
+
+@pytest.mark.parametrize("name", ["ga4_promos", "ua_visits"])
+def test_backfill_equals_single_runs(spark, sources, tmp_path, name):
+    source, folder = sources[name.split("_")[0]], daily.MARTS[name].folder
+    days = [DAY + datetime.timedelta(days=i) for i in range(3)]
+    for target in ("one", "many"):
+        daily.load_day(spark, name, source, str(tmp_path / target), DAY)
+    for day in days:
+        daily.load_day(spark, name, source, str(tmp_path / "one"), day)
+    counts = daily.backfill(spark, name, source, str(tmp_path / "many"), days, at_once=2)
+    one, many = (spark.read.parquet(str(tmp_path / target / folder)) for target in ("one", "many"))
+    assert as_bag(one) == as_bag(many)
+    assert as_bag(counts) == as_bag(one.groupBy("load_day").count())

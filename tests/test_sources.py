@@ -149,3 +149,32 @@ def test_csv_and_parquet_trim_alike(spark, tmp_path):
     marts.export_csv(mart, str(tmp_path / "csv"))
     loaded = marts.load_csv(spark, str(tmp_path / "csv"), mart.schema)[0]
     assert as_bag(loaded) == as_bag(marts.normalise_for_load(mart)) == sorted([("x",), (None,), ("a b",)], key=repr)
+
+
+def test_rejected_rows_have_their_origin(spark, tmp_path):
+    files = {
+        "a.csv": ["x,1,,,", "y,z,,,", "w,2", "v,3,2024-13-02,maybe,"],
+        "b.csv": ["p,4,,,", "q,5,,,", '"open,6', "swallowed,7,,,"],
+    }
+    for name, lines in files.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    good, bad = marts.load_csv(spark, str(tmp_path), SCHEMA)
+    assert [r[0] for r in as_bag(good, "number")] == [1, 2, 4, 5]
+    found = [(r["file"].rsplit("/", 1)[1], r["record"], r["reason"]) for r in bad.collect()]
+    assert sorted(found) == [
+        ("a.csv", 2, "number is no bigint"),
+        ("a.csv", 4, "day is no date; flag is no boolean"),
+        ("b.csv", 3, "unbalanced quotes"),
+    ]
+    short = marts.load_csv(spark, str(tmp_path), SCHEMA, reject_short=True)[1].where("reason = 'short row'")
+    assert [(r["text"], r["number"], r["record"]) for r in short.collect()] == [("w", "2", 3)]
+
+
+def test_several_days_in_one_write(spark, tmp_path):
+    path, days = str(tmp_path / "mart"), [datetime.date(2024, 1, d) for d in (1, 2, 3, 4)]
+    rows = spark.createDataFrame([(" a ", days[0]), ("b", days[1]), ("c", days[3])], "text string, load_day date")
+    for day in days:
+        marts.write_mart(spark.createDataFrame([("old",)], "text string"), path, day)
+    marts.write_days(rows, path, days[:3])
+    found = as_bag(marts.read_mart(spark, path, T.StructType([SCHEMA[0]])), "text", "load_day")
+    assert found == sorted([("a", days[0]), ("b", days[1]), ("old", days[3])], key=repr)
