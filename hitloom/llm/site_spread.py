@@ -13,6 +13,8 @@ lines that occur twice in a document count as two occurrences; extra columns are
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,23 +74,29 @@ def boilerplate_lines(occurrences: DataFrame, min_sites: int, max_copied: float)
 def remove_boilerplate(
     docs: DataFrame, min_sites: int = 8, max_copied: float = 0.3, text: str = "text", site: str = "source"
 ) -> DataFrame:
-    """The same rows and columns, with boilerplate lines taken out of the text, and two counts."""
+    """The same rows and columns, with boilerplate lines taken out of the text, and two counts.
+
+    Columns that are named like the counts, ``n_lines`` and ``n_removed_lines``, are replaced by them.
+    """
     work = Workspace(docs.sparkSession, "spread")
     occurrences = work.keep(line_occurrences(docs, text, site), "occurrences")
     found = work.keep(boilerplate_lines(occurrences, min_sites, max_copied), "boilerplate")
     # Equal texts have equal lines, so a text's hash is key enough and repeated rows need no number.
     own = occurrences.select("text_hash", "line").distinct().join(found, "line", "left_semi")
-    bad = own.groupBy(F.col("text_hash").alias("__text")).agg(F.collect_set("line").alias("__bad"))
-    key = F.xxhash64(F.col(text))
-    kept = F.filter(_lines(F.col(text)), lambda x: ~F.array_contains(F.col("__bad"), F.xxhash64(x)))
-    cleaned = F.when(F.col("__bad").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    # Helper columns that no column of the documents can be named like.
+    mark = uuid.uuid4().hex
+    text_hash, lines = f"text_{mark}", f"lines_{mark}"
+    bad = own.groupBy(F.col("text_hash").alias(text_hash)).agg(F.collect_set("line").alias(lines))
+    kept = F.filter(_lines(F.col(text)), lambda x: ~F.array_contains(F.col(lines), F.xxhash64(x)))
+    cleaned = F.when(F.col(lines).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(_lines(F.col(text))))
-    removed = F.when(F.col("__bad").isNull(), 0).otherwise(F.size(_lines(F.col(text))) - F.size(kept))
+    removed = F.when(F.col(lines).isNull(), 0).otherwise(F.size(_lines(F.col(text))) - F.size(kept))
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]
     return (
-        docs.withColumn("__text", key)
-        .join(bad, "__text", "left")
+        docs.withColumn(text_hash, F.xxhash64(F.col(text)))
+        .join(bad, text_hash, "left")
         .select(
-            *[cleaned.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
+            *[cleaned.alias(c) if c == text else F.col(f"`{c}`") for c in columns],
             n_lines.cast("long").alias("n_lines"),
             removed.cast("long").alias("n_removed_lines"),
         )
