@@ -2,10 +2,17 @@
 
 Every stage takes a session, the documents its predecessor kept, and the folder of the other tables.  All
 but the last return documents with the same columns.
+
+Defined cases: documents with a null or empty text pass all stages and are packed as an end id alone;
+texts of any length are read whole; repeated rows are scored and cleaned alike, and the join keeps one
+document of each group of near copies; an empty table gives no pieces; further columns are carried along,
+whatever their names, up to packing, which returns pieces.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +27,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = site_spread.remove_boilerplate(docs).select(docs.columns)
+    """The counts are of no use here, and must not take the place of columns of that name."""
+    of_lines = [c for c in ("n_lines", "n_removed_lines") if c in docs.columns]
+    renamed = docs.withColumnsRenamed({c: f"own_{uuid.uuid5(uuid.NAMESPACE_OID, c).hex}" for c in of_lines})
+    cleaned = site_spread.remove_boilerplate(renamed).select(renamed.columns).toDF(*docs.columns)
     return cleaned.withColumn("n_chars", F.length("text").cast("long"))
 
 
