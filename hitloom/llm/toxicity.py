@@ -9,12 +9,14 @@ rows.  Presence in the whole text counts, not frequency, so the length of a text
 
 Defined cases: missing and empty texts have no features and get the models' base rates; a missing label
 is not learned from; repeated rows are scored alike; very long texts are read whole; without labelled
-rows, or with one class only, a category's probability is its base rate or 0; extra columns are kept.
+rows, or with one class only, a category's probability is its base rate or 0; extra columns are kept, but for those
+named like a probability, which are replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -29,6 +31,8 @@ from hitloom.llm.workspace import Workspace, ship_code
 
 SIZES = range(4, 7)
 _FILTER_BITS = 20
+#: Bytes of text whose n-grams are held at once; they take some sixty times as much memory.
+_SLICE_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -66,13 +70,14 @@ class Chain:
         self.known = np.zeros(1 << _FILTER_BITS, bool)
         self.known[(self.hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
+    def _maybe(self, values: np.ndarray) -> np.ndarray:
+        return self.known[(values >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
+
     def present(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Per run of texts: its first and end row, and the pairs of row and feature that occur."""
-        for first, end, data, offsets in hashing.slices(column, 4 << 20):
+        for first, end, data, offsets in hashing.slices(column, _SLICE_BYTES):
             keys = [np.empty(0, np.int64)]
-            for row, values in feature_runs(data, offsets):
-                maybe = np.flatnonzero(self.known[(values >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-                values, row = values[maybe], row[maybe]
+            for row, values in feature_runs(data, offsets, self._maybe):
                 place = np.minimum(np.searchsorted(self.hashes, values), max(0, len(self.hashes) - 1))
                 hit = self.hashes[place] == values if len(self.hashes) else np.zeros(len(values), bool)
                 keys.append(row[hit] * len(self.hashes) + place[hit])
@@ -93,12 +98,21 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def feature_runs(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows and hashes of the words and character n-grams of lower-cased texts."""
+def feature_runs(
+    data: np.ndarray, offsets: np.ndarray, wanted: Callable[[np.ndarray], np.ndarray] | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and hashes of the words and character n-grams of lower-cased texts; only ``wanted`` hashes, if given."""
     text, starts_of = hashing.separated(data, offsets, lower=True)
     starts, ends = hashing.word_spans(text)
-    yield np.searchsorted(starts_of, starts, "right") - 1, hashing.word_hashes(text, starts, ends)
+    hashes = hashing.word_hashes(text, starts, ends)
+    if wanted is not None:
+        kept = np.flatnonzero(wanted(hashes))
+        starts, hashes = starts[kept], hashes[kept]
+    yield np.searchsorted(starts_of, starts, "right") - 1, hashes
     for _, at, hashes in hashing.char_ngrams(text, SIZES):
+        if wanted is not None:
+            kept = np.flatnonzero(wanted(hashes))
+            at, hashes = at[kept], hashes[kept]
         own = np.searchsorted(starts_of, at + 1, "right") - 1
         yield np.minimum(own, len(offsets) - 2), hashes
 
@@ -216,14 +230,13 @@ def train(
     return chain
 
 
-def with_probabilities(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
-    """All rows and columns, and a column ``p_<category>`` per category."""
+def with_probabilities(docs: DataFrame, chain: Chain, text: str = "text", prefix: str = "p_") -> DataFrame:
+    """All rows and columns, and a column ``<prefix><category>`` per category, which replaces one of that name."""
     spark = docs.sparkSession
     ship_code(spark)
     shared = spark.sparkContext.broadcast(chain)
-    added = [f"p_{name}" for name in chain.names]
-    if clash := set(added) & set(docs.columns):
-        raise ValueError(f"columns of these names exist already: {sorted(clash)}")
+    added = [f"{prefix}{name}" for name in chain.names]
+    docs = docs.drop(*[name for name in added if name != text])
     at = docs.columns.index(text)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,4 +253,6 @@ def with_probabilities(docs: DataFrame, chain: Chain, text: str = "text") -> Dat
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows that the last category of the default chain does not mark, with all their columns."""
     chain = train(docs.select("doc_id", "text"), labels)
-    return with_probabilities(docs, chain).where(F.col(f"p_{chain.names[-1]}") < threshold).select(docs.columns)
+    prefix = f"p_{uuid.uuid4().hex}_"
+    scored = with_probabilities(docs, chain, prefix=prefix)
+    return scored.where(F.col(f"{prefix}{chain.names[-1]}") < threshold).select(docs.columns)

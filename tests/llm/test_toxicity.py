@@ -52,3 +52,11 @@ def test_later_models_read_out_of_fold_probabilities():
     y = np.column_stack([x[:, 0], x[:, 0] * (pick.random(400) < 0.9)])
     models = toxicity.fit_chain(x, y, SETTINGS)
     assert len(models[0]) == 7 and len(models[1]) == 8 and models[1][6] > 0
+
+
+def test_columns_named_like_a_probability(spark):
+    docs = spark.createDataFrame([(1, "a", "mine")], "doc_id long, text string, p_toxic string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert toxicity.without_toxic(docs, labels).first()["p_toxic"] == "mine"
+    chain = toxicity.train(docs.select("doc_id", "text"), labels)
+    assert toxicity.with_probabilities(docs, chain).first()["p_toxic"] < 0.5
