@@ -11,8 +11,11 @@ whose counts are too far apart can't be linked.  The components left are the reg
 * A region that fits a task is joined there.  Pivots are spread over it, each point goes to the Voronoi
   region of its nearest pivot, and to every other region whose pivot is not farther by more than twice
   the radius (triangle inequality); the regions are joined recursively, small ones pair by pair.
-* A larger region, such as a group of near copies that holds a third of all rows, is dealt out in
-  blocks.  All points are compared with a few pivots; those linked to the main pivot's component need
+* Long texts can stay together though nothing links them, as the counts of large sets are alike.  The
+  points of a region too large for a task are therefore counted again in ``FINE_BINS`` parts, and meet
+  again at their shared shingles.
+* A region that is still larger, such as a group of near copies that holds a third of all rows, is dealt
+  out in blocks.  All points are compared with a few pivots; those linked to the main pivot's component need
   no further comparison with each other.  Only the rest is compared with all blocks.
 
 Links are reported as a spanning forest: all that components need.
@@ -42,6 +45,8 @@ BINS = 64
 REGION_POINTS = 3000
 REGION_BYTES = 32 << 20
 BLOCK_POINTS = 2000
+#: Parts of the shingle universe that the points of larger regions are counted in.
+FINE_BINS = 1024
 COMMON_LISTED = 20_000
 TOKENS_PER_BUCKET = 400_000
 _TOKEN = np.dtype([("token", "<u8"), ("point", "<i8")])
@@ -371,6 +376,71 @@ def _join_regions(
     return links.unionByName(found).unionByName(more)
 
 
+def _near(like: Similarity, counts: str) -> tuple[Callable, Callable]:
+    """Joins of a region, and of two blocks of one, by the contraction: columns ``n`` and ``bins``."""
+
+    def read(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        n = table.column("n").to_numpy()
+        bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), counts).reshape(len(n), -1)
+        return n, bins.astype(np.int16) if bins.dtype.itemsize == 1 else bins
+
+    def near(table: pa.Table) -> list[tuple[int, int]]:
+        n, bins = read(table)
+        order = np.argsort(n, kind="stable")
+        n, bins, forest = n[order], bins[order], Forest(len(n))
+        for i in range(len(n) - 1):
+            reach = np.searchsorted(n, n[i] * 100 / like.percent, "right")
+            apart = np.abs(bins[i + 1 : reach] - bins[i]).sum(axis=1)
+            for j in np.flatnonzero(like.possible(apart, n[i], n[i + 1 : reach])):
+                forest.join(i, i + 1 + int(j))
+        return [(int(order[i]), int(order[j])) for i, j in forest.links]
+
+    def near_blocks(ours: pa.Table, theirs: pa.Table) -> list[tuple[int, int]]:
+        (n, left), (m, right) = read(ours), read(theirs)
+        forest = Forest(len(n) + len(m))
+        for j in range(len(m)):
+            apart = np.abs(left - right[j]).sum(axis=1)
+            for i in np.flatnonzero(like.possible(apart, n, m[j])):
+                forest.join(int(i), len(n) + j)
+        return [(i, j - len(n)) for i, j in forest.links]
+
+    return near, near_blocks
+
+
+def _large_regions(members: DataFrame) -> DataFrame:
+    """The regions that one task should not join: region."""
+    sizes = members.groupBy("region").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    return sizes.where((F.col("n") > REGION_POINTS) | (F.col("bytes") > REGION_BYTES)).select("region")
+
+
+def _divided(members: DataFrame, large: DataFrame, meetings: DataFrame, like: Similarity, work: Workspace) -> DataFrame:
+    """The members with large regions divided: region, point, text; points near to no other are left out.
+
+    Points that are linked share a first region, so it is there that their finer counts are compared.
+    Counts above 255 are cut, which brings sets nearer to each other, never farther apart.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shift = np.uint64(64 - (FINE_BINS.bit_length() - 1))
+        for batch in batches:
+            sets = list(shingle_sets(batch.column(1), like.words))
+            bins = [np.bincount((own >> shift).astype(np.int64), minlength=FINE_BINS) for own in sets]
+            counts = pa.array([np.minimum(own, 255).astype(np.uint8).tobytes() for own in bins], pa.binary())
+            sizes = pa.array([len(own) for own in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, counts], names=["point", "n", "bins"])
+
+    crowded = members.join(large, "region").select("point", "text")
+    fine = work.keep(crowded.mapInArrow(count, "point long, n long, bins binary"), "fine")
+    again = work.keep(meetings.join(fine, "point"), "fine-members")
+    sizes = again.groupBy("region").agg(F.count("*").alias("n"))
+    many = work.keep(sizes.where(F.col("n") > REGION_POINTS).select("region"), "fine-many")
+    close = _join_regions(again, ["n", "bins"], many, *_near(like, "u1"), work, "fine")
+    parts = connected_components(close, work, "fine-regions")
+    parts = parts.select(F.col("node").alias("point"), F.col("component").alias("region"))
+    others = members.join(large, "region", "left_anti")
+    return work.keep(others.unionByName(crowded.join(parts, "point").select("region", "point", "text")), "divided")
+
+
 def one_of_each(docs: DataFrame, like: Similarity) -> DataFrame:
     """The rows that stay when each component keeps its first."""
     key = [F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.col("text_hash").alias("__text")]
@@ -402,30 +472,8 @@ def components(docs: DataFrame, like: Similarity) -> DataFrame:
     members = tokens.withColumnRenamed("token", "region").join(kept.select("region"), "region").join(distinct, "point")
     members = work.keep(members, "members")
 
-    def near(table: pa.Table) -> list[tuple[int, int]]:
-        n = table.column("n").to_numpy()
-        bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), "<i4").reshape(len(n), BINS)
-        order = np.argsort(n, kind="stable")
-        n, bins, forest = n[order], bins[order], Forest(len(n))
-        for i in range(len(n) - 1):
-            reach = np.searchsorted(n, n[i] * 100 / like.percent, "right")
-            apart = np.abs(bins[i + 1 : reach] - bins[i]).sum(axis=1)
-            for j in np.flatnonzero(like.possible(apart, n[i], n[i + 1 : reach])):
-                forest.join(i, i + 1 + int(j))
-        return [(int(order[i]), int(order[j])) for i, j in forest.links]
-
-    def near_blocks(ours: pa.Table, theirs: pa.Table) -> list[tuple[int, int]]:
-        n, m = ours.column("n").to_numpy(), theirs.column("n").to_numpy()
-        left, right = (np.frombuffer(b"".join(t.column("bins").to_pylist()), "<i4").reshape(-1, BINS) for t in (ours, theirs))
-        forest = Forest(len(n) + len(m))
-        for j in range(len(m)):
-            apart = np.abs(left - right[j]).sum(axis=1)
-            for i in np.flatnonzero(like.possible(apart, n, m[j])):
-                forest.join(int(i), len(n) + j)
-        return [(i, j - len(n)) for i, j in forest.links]
-
     large = kept.where(F.col("size") > 2 * REGION_POINTS).select("region")
-    close = _join_regions(members, ["n", "bins"], large, near, near_blocks, work, "near")
+    close = _join_regions(members, ["n", "bins"], large, *_near(like, "<i4"), work, "near")
     regions = work.keep(
         connected_components(close, work, "regions").select(F.col("node").alias("point"), F.col("component").alias("region")), "regions"
     )
@@ -434,10 +482,13 @@ def components(docs: DataFrame, like: Similarity) -> DataFrame:
     row = F.min(F.struct("doc_id", "text_hash")).alias("row")
     chosen = described.where("n > 0").join(regions, "point").groupBy("point", "region").agg(row).select("point", "region", "row.*")
     texts = docs.select(*_row_key(), "text").join(chosen, ["doc_id", "text_hash"])
+    meetings = members.select("region", "point")
     members = texts.select("region", "point", "text").dropDuplicates(["region", "point"])
     members = work.keep(members, "texts")
-    sizes = members.groupBy("region").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
-    large = work.keep(sizes.where((F.col("n") > REGION_POINTS) | (F.col("bytes") > REGION_BYTES)).select("region"), "large")
+    large = work.keep(_large_regions(members), "large")
+    if not large.isEmpty():
+        members = _divided(members, large, meetings, like, work)
+        large = work.keep(_large_regions(members), "still-large")
 
     def exact(table: pa.Table) -> list[tuple[int, int]]:
         return Space(_payload_sets(table, like), like).join()

@@ -75,6 +75,27 @@ def test_large_regions_in_blocks_equal_brute_force(spark, monkeypatch):
     assert found(spark, rows, Similarity(3, 90)) == brute(rows, Similarity(3, 90))
 
 
+@pytest.mark.parametrize("fine_bins", [64, 1024])
+def test_regions_of_long_texts_that_only_share_phrases(spark, monkeypatch, fine_bins):
+    """A region large by bytes, without a main component; with few bins it is not divided, only dealt out."""
+    monkeypatch.setattr(metric_join, "REGION_BYTES", 60_000)
+    monkeypatch.setattr(metric_join, "REGION_POINTS", 12)
+    monkeypatch.setattr(metric_join, "BLOCK_POINTS", 16)
+    monkeypatch.setattr(metric_join, "FINE_BINS", fine_bins)
+    pick, rows = random.Random(4), []
+    phrases = [" ".join(f"p{pick.randrange(400)}" for _ in range(40)) for _ in range(12)]
+    for d in range(60):
+        words = [f"w{pick.randrange(60_000)}" for _ in range(1800)]
+        for _ in range(12):
+            words[pick.randrange(len(words))] = pick.choice(phrases)
+        rows.append((d, " ".join(words)))
+    for d in range(60, 80):  # near copies of few of them
+        words = rows[pick.randrange(4)][1].split(" ")
+        words[pick.randrange(len(words))] = f"changed{d}"
+        rows.append((d, " ".join(words)))
+    assert found(spark, rows, Similarity(5, 80)) == brute(rows, Similarity(5, 80))
+
+
 def test_one_of_each_repeated_rows_missing_ids_and_empty_table(spark):
     long = " ".join(f"w{i}" for i in range(50))
     rows = [(7, long, "a"), (3, long, "a"), (3, long, "a"), (None, long, "a"), (4, None, "b"), (5, None, "c"), (6, "other words", "d")]
