@@ -197,5 +197,6 @@ def count_tokens(docs: DataFrame, path: str, cache: str, few_misses: int = FEW_M
             texts = texts.join(missing, "content", "left_semi")
         counted = _encoded(texts, path).withColumn("tokenizer", F.lit(version))
         counted.write.mode("append").partitionBy("tokenizer").parquet(cache)
-    stored = stored_counts(spark, cache, version)
+    # As a table of its own, without a grouping above its shuffle, so that AQE can split a content of many rows.
+    stored = work.keep(stored_counts(spark, cache, version), "stored")
     return digests.join(stored, "content", "left").select("doc_id", "n_bytes", "n_tokens")
