@@ -125,18 +125,21 @@ def llm_queries() -> dict[str, Query]:
 
 SITE_SPREAD_SQL = """
 WITH lines AS (
-    SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+    SELECT doc_id, text, source, unnest(string_split(text, chr(10))) AS line,
         generate_subscripts(string_split(text, chr(10)), 1) AS place
     FROM documents
 ),
-beside AS (
-    SELECT line, source, coalesce(lag(line) OVER w, '') AS before, coalesce(lead(line) OVER w, '') AS after
-    FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY place)
+filled AS (SELECT DISTINCT text, source, line, length(line) AS n FROM lines WHERE trim(line) <> ''),
+widespread AS (SELECT line FROM filled GROUP BY line HAVING count(DISTINCT source) >= 8),
+of_texts AS (
+    SELECT t.text, sum(t.n) AS total, sum(CASE WHEN w.line IS NOT NULL THEN t.n ELSE 0 END) AS shared
+    FROM (SELECT DISTINCT text, line, n FROM filled) t LEFT JOIN widespread w ON t.line = w.line GROUP BY t.text
+),
+copied AS (SELECT text FROM of_texts WHERE shared > 0.5 * total),
+boilerplate AS (
+    SELECT line FROM filled SEMI JOIN widespread USING (line) ANTI JOIN copied USING (text)
+    GROUP BY line HAVING count(DISTINCT source) >= 8
 ),
-places AS (SELECT line, before, after, count(*) AS n FROM beside WHERE trim(line) <> '' GROUP BY ALL),
-copied AS (SELECT line, sum(n) AS n, max(n) AS most FROM places GROUP BY line),
-spread AS (SELECT line, count(DISTINCT source) AS sites FROM lines GROUP BY line),
-boilerplate AS (SELECT line FROM copied JOIN spread USING (line) WHERE sites >= 8 AND most <= 0.3 * n),
 kept AS (
     SELECT doc_id, string_agg(line, chr(10) ORDER BY place) AS text, count(*) AS n
     FROM lines ANTI JOIN boilerplate USING (line) GROUP BY doc_id

@@ -1,14 +1,18 @@
 """Cross-site boilerplate lines by the spread of each line over distinct sites.
 
-Per line and neighbourhood a HyperLogLog sketch of the sites is built, and the sketches of a line are
-merged by aggregation.  Lines whose estimate lies near the threshold get an exact distinct count.
-A line is boilerplate when it occurs on at least ``min_sites`` sites and no single neighbourhood (the
-line before and the line after) makes up more than ``max_copied`` of its occurrences: lines that always
-stand between the same two are parts of copied documents, which are another operator's concern.
+Per line a HyperLogLog sketch of its sites is built, merged by aggregation.  Lines whose estimate lies
+near the threshold get an exact distinct count.  A line on at least ``min_sites`` sites is widespread.
+
+A copied document makes its own lines widespread too, and they must not be cut out of its copies.  So
+copies don't vote: a text of whose characters more than ``max_shared`` stand in widespread lines is taken
+for a copy, and the sites of the widespread lines are counted again over all other texts.  Lines that
+reach ``min_sites`` there are boilerplate, alone or in blocks of several lines, and leave every text, those
+that did not vote included.
 
 Defined cases: a missing text has no lines and stays missing; an empty text is one empty line, and lines
-of blanks alone are never boilerplate; a missing site counts as none; repeated rows are judged alike;
-lines that occur twice in a document count as two occurrences; extra columns are kept as they are.
+of blanks alone are never boilerplate; a missing site counts as none; repeated rows and equal texts are
+judged alike; lines that occur twice in a text count once, and both go; a line of any length is one line;
+an empty table stays empty; extra columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,34 +34,20 @@ def _lines(text: Column) -> Column:
 
 
 def line_occurrences(docs: DataFrame, text: str = "text", site: str = "source") -> DataFrame:
-    """One row per line: the hashes of its text, of itself and of the lines beside it, and its site."""
-    split = docs.select(F.col(site).alias("site"), F.xxhash64(F.col(text)).alias("text_hash"), _lines(F.col(text)).alias("lines"))
-    beside = lambda i: F.coalesce(F.get("lines", i), F.lit(""))
-    at = lambda line, i: F.struct(
-        F.xxhash64(line).alias("line"),
-        F.xxhash64(beside(i - 1), beside(i + 1)).alias("around"),
-        (F.trim(line) == "").alias("blank"),
-    )
+    """One row per row and different line: hashes of text and line, the site, and the characters of line and text."""
+    lines = F.array_distinct(F.filter(_lines(F.col(text)), lambda x: F.trim(x) != ""))
+    split = docs.select(F.col(site).alias("site"), F.xxhash64(F.col(text)).alias("text_hash"), lines.alias("lines"))
+    total = F.aggregate("lines", F.lit(0).cast("long"), lambda n, x: n + F.length(x))
+    hashed = F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("line"), F.length(x).alias("length")))
     # The outer form spares a second split of the text, which a test for empty arrays would need.
-    rows = split.select("site", "text_hash", F.explode_outer(F.transform("lines", at)).alias("at"))
-    return rows.select("site", "text_hash", "at.line", "at.around", "at.blank").where(~F.col("blank")).drop("blank")
+    rows = split.select("site", "text_hash", total.alias("total"), F.explode_outer(hashed).alias("at"))
+    return rows.select("site", "text_hash", "total", "at.line", "at.length").where(F.col("line").isNotNull())
 
 
-def boilerplate_lines(occurrences: DataFrame, min_sites: int, max_copied: float) -> DataFrame:
-    """The hashes of boilerplate lines, one row each."""
-    by_place = occurrences.groupBy("line", "around").agg(
-        F.count("*").alias("n"), F.hll_sketch_agg("site", F.lit(SKETCH_BITS)).alias("sites")
-    )
-    spread = (
-        by_place.groupBy("line")
-        .agg(
-            F.sum("n").alias("n"),
-            F.max("n").alias("most"),
-            F.hll_sketch_estimate(F.hll_union_agg("sites")).alias("estimate"),
-        )
-        .where((F.col("most") <= max_copied * F.col("n")) & (F.col("estimate") >= min_sites * (1 - NEAR)))
-        .select("line", "estimate")
-    )
+def widespread_lines(occurrences: DataFrame, min_sites: int) -> DataFrame:
+    """The hashes of lines on at least so many sites, one row each."""
+    sketched = occurrences.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(SKETCH_BITS)).alias("sites"))
+    spread = sketched.select("line", F.hll_sketch_estimate("sites").alias("estimate")).where(F.col("estimate") >= min_sites * (1 - NEAR))
     near = spread.where(F.col("estimate") <= min_sites * (1 + NEAR)).select("line")
     exact = (
         occurrences.select("line", "site")
@@ -71,8 +61,15 @@ def boilerplate_lines(occurrences: DataFrame, min_sites: int, max_copied: float)
     return spread.where(F.col("estimate") > min_sites * (1 + NEAR)).select("line").unionByName(exact)
 
 
+def copied_texts(shared: DataFrame, max_shared: float) -> DataFrame:
+    """The hashes of texts that consist of widespread lines, given the occurrences of those."""
+    once = shared.select("text_hash", "total", "line", "length").distinct()
+    part = once.groupBy("text_hash", "total").agg(F.sum("length").alias("shared"))
+    return part.where(F.col("shared") > max_shared * F.col("total")).select("text_hash")
+
+
 def remove_boilerplate(
-    docs: DataFrame, min_sites: int = 8, max_copied: float = 0.3, text: str = "text", site: str = "source"
+    docs: DataFrame, min_sites: int = 8, max_shared: float = 0.5, text: str = "text", site: str = "source"
 ) -> DataFrame:
     """The same rows and columns, with boilerplate lines taken out of the text, and two counts.
 
@@ -80,9 +77,12 @@ def remove_boilerplate(
     """
     work = Workspace(docs.sparkSession, "spread")
     occurrences = work.keep(line_occurrences(docs, text, site), "occurrences")
-    found = work.keep(boilerplate_lines(occurrences, min_sites, max_copied), "boilerplate")
+    widespread = work.keep(widespread_lines(occurrences, min_sites), "widespread")
+    shared = work.keep(occurrences.join(widespread, "line", "left_semi"), "shared")
+    voters = shared.join(copied_texts(shared, max_shared), "text_hash", "left_anti")
+    found = work.keep(widespread_lines(voters, min_sites), "boilerplate")
     # Equal texts have equal lines, so a text's hash is key enough and repeated rows need no number.
-    own = occurrences.select("text_hash", "line").distinct().join(found, "line", "left_semi")
+    own = shared.select("text_hash", "line").distinct().join(found, "line", "left_semi")
     # Helper columns that no column of the documents can be named like.
     mark = uuid.uuid4().hex
     text_hash, lines = f"text_{mark}", f"lines_{mark}"
