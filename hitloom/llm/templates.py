@@ -3,22 +3,24 @@
 Texts are split at white space.  In a window of words, numbers become a typed placeholder, units after a
 number and names inside a sentence too; the rest is lower-cased without punctuation.  Such windows are
 joined by hash.  Where one matches, the words behind equal placeholders are compared: a
-re-parameterised copy replaces each value by one other value throughout.
+re-parameterised copy replaces each value by one other value throughout.  An item is in a document when a
+part of its windows occurs there, or, whatever part that is, a run of so many words.
 
 The join has two steps.  Each window has an anchor, its longest pair of neighbouring words; documents'
 pairs are looked up among the anchors.  Only at the few places found is the window's template built and
 its hash compared.  A window without such a pair is looked up by its longest word.
 
-Defined cases: missing and empty texts match nothing; an item with fewer words than a window is one
-window; repeated rows of either table are reported alike; equal windows within an item count once per
-place; extra columns are not read.
+Defined cases: missing and empty texts match nothing, and empty tables give no rows; an item with fewer
+words than a window is one window; repeated rows of either table are reported alike; equal windows within
+an item count once per place; of alignments with equally many slots the most consistent one counts; texts
+of any length are read whole; extra columns are not read, and the filter keeps them, whatever their names.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitloom.llm.workspace import Workspace
@@ -33,8 +35,8 @@ UNITS = (
 
 #: Placeholders, from the range of code points for private use.
 NUMBER, UNIT, NAME = "\ue000", "\ue001", "\ue002"
-#: Benchmark windows that one broadcast holds; a larger benchmark is joined in that many blocks.
-WINDOWS_PER_BLOCK = 200_000
+#: Benchmark windows that are broadcast; the anchors of a larger benchmark are joined by a shuffle.
+BROADCAST_WINDOWS = 200_000
 
 
 _BLANKS = " \t\n\x0b\f\r"
@@ -90,7 +92,7 @@ def benchmark_windows(items: DataFrame, window: int, item_id: str = "item_id", t
     )
 
 
-def anchored_places(docs: DataFrame, windows: DataFrame, pair: bool) -> DataFrame:
+def anchored_places(docs: DataFrame, windows: DataFrame, pair: bool, few: bool) -> DataFrame:
     """Where windows may start in texts, by their anchors: text_hash, item_id, at, start."""
     words = docs.select(F.xxhash64("text").alias("text_hash"), raw_words(F.col("text")).alias("words"))
     after = F.slice("words", 2, F.greatest(F.size("words"), F.lit(1)))
@@ -101,24 +103,20 @@ def anchored_places(docs: DataFrame, windows: DataFrame, pair: bool) -> DataFram
     if pair:
         rows = rows.where(F.col("two.beside").isNotNull())
     small = windows.select("item_id", "at", "shift", "key")
-    found = rows.select("text_hash", "pos", F.xxhash64(*key).alias("key")).join(F.broadcast(small), "key")
+    found = rows.select("text_hash", "pos", F.xxhash64(*key).alias("key")).join(F.broadcast(small) if few else small, "key")
     return found.select("text_hash", "item_id", "at", (F.col("pos") - F.col("shift")).alias("start")).where(F.col("start") >= 0)
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int, work: Workspace) -> DataFrame:
     """One row per text, item and pair of equal template windows, with the words of both."""
     windows = work.keep(benchmark_windows(items, window), "windows")
-    blocks = max(1, -(-windows.count() // WINDOWS_PER_BLOCK))
-    parts = []
-    for pair in (True, False):
-        of_kind = windows.where(F.col("pair") == pair)
-        if not pair and of_kind.isEmpty():
-            continue
-        for block in range(blocks):
-            part = of_kind.where(F.pmod(F.xxhash64("item_id", "at"), F.lit(blocks)) == block)
-            parts.append(anchored_places(docs, part, pair))
-    places = work.keep(reduce(DataFrame.unionByName, parts).distinct(), "places")
-    told = places.join(F.broadcast(windows) if blocks == 1 else windows, ["item_id", "at"])
+    few = windows.count() <= BROADCAST_WINDOWS
+    places = anchored_places(docs, windows.where("pair"), True, few)
+    single = windows.where("not pair")
+    if not single.isEmpty():
+        places = places.unionByName(anchored_places(docs, single, False, few))
+    places = work.keep(places.distinct(), "places")
+    told = places.join(F.broadcast(windows) if few else windows, ["item_id", "at"])
     # As many as the text has places of anchors.
     wanted = told.groupBy("text_hash").agg(F.collect_list(F.struct("item_id", "at", "start", "size", "hash", "part", "item_raw")).alias("places"))
     texts = docs.select(F.xxhash64("text").alias("text_hash"), "text")
@@ -130,13 +128,29 @@ def matches(docs: DataFrame, items: DataFrame, window: int, work: Workspace) ->
     return both.select("text_hash", F.explode(equal).alias("p")).select("text_hash", "p.item_id", "p.at", "p.start", "p.part", "p.item_raw", "p.doc_raw")
 
 
+def longest_runs(found: DataFrame, window: int) -> DataFrame:
+    """Per text and item the longest run of words that windows one after the other cover, in both alike."""
+    aligned = found.select("text_hash", "item_id", "at", (F.col("start") - F.col("at")).alias("shift")).distinct()
+    # As many rows as the item has windows.
+    order = Window.partitionBy("text_hash", "item_id", "shift").orderBy("at")
+    runs = aligned.withColumn("run", F.col("at") - F.row_number().over(order))
+    sized = runs.groupBy("text_hash", "item_id", "shift", "run").agg(F.count("*").alias("n"))
+    return sized.groupBy("text_hash", "item_id").agg((F.max("n") + (window - 1)).alias("run_words"))
+
+
 def contaminated(
-    docs: DataFrame, items: DataFrame, window: int = 8, min_share: float = 0.25, min_consistency: float = 0.8
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = 8,
+    min_share: float = 0.25,
+    min_consistency: float = 0.8,
+    min_run: int = 20,
 ) -> DataFrame:
     """Documents with benchmark items in them: a row per document and item.
 
-    ``share`` is the part of the item's windows that occur, ``consistency`` the part of its slots
-    whose value stands for one value of the item only.
+    ``share`` is the part of the item's windows that occur, ``run_words`` the longest run of words (of an
+    item shorter than a window: the item's), ``consistency`` the part of its slots whose value stands for
+    one value of the item only.
     """
     work = Workspace(docs.sparkSession, "templates")
     docs = docs.select("doc_id", "text")
@@ -158,9 +172,11 @@ def contaminated(
     )
     counted = found.groupBy(*key).agg(F.count_distinct("at").alias("matched"))
     sizes = items.select("item_id", F.size(raw_words(F.col("text"))).alias("n_words")).groupBy("item_id").agg(F.max("n_words").alias("n_words"))
-    sizes = sizes.select("item_id", F.greatest(F.col("n_words") - window + 1, F.lit(1)).alias("n_windows"))
+    sizes = sizes.select("item_id", "n_words", F.greatest(F.col("n_words") - window + 1, F.lit(1)).alias("n_windows"))
+    long_item = F.least(F.col("run_words"), F.col("n_words").cast("long"))
     judged = (
         counted.join(slots, list(key), "left")
+        .join(longest_runs(found, window), list(key))
         .join(sizes, "item_id")
         .select(
             "text_hash",
@@ -168,9 +184,10 @@ def contaminated(
             "matched",
             "n_windows",
             (F.col("matched") / F.col("n_windows")).alias("share"),
+            long_item.alias("run_words"),
             F.coalesce("consistency", F.lit(1.0)).alias("consistency"),
         )
-        .where((F.col("share") >= min_share) & (F.col("consistency") >= min_consistency))
+        .where(((F.col("share") >= min_share) | (F.col("run_words") >= min_run)) & (F.col("consistency") >= min_consistency))
     )
     judged = work.keep(judged, "judged")
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash")).join(judged, "text_hash")
@@ -178,6 +195,6 @@ def contaminated(
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows without benchmark items, with all their columns."""
-    found = contaminated(docs, items).select(F.col("text_hash").alias("__text")).distinct()
-    keyed = docs.withColumn("__text", F.xxhash64("text"))
-    return keyed.join(found, "__text", "left_anti").select(docs.columns)
+    mark = f"text_{uuid.uuid4().hex}"
+    found = contaminated(docs, items).select(F.col("text_hash").alias(mark)).distinct()
+    return docs.withColumn(mark, F.xxhash64("text")).join(found, mark, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
