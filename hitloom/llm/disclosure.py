@@ -1,20 +1,27 @@
 """Personal data, and terms of a text that reveal it.
 
 The base finds e-mail addresses, IP addresses, payment cards and phone numbers.  The values found are
-the protected entities.  Over all documents it is counted how often a term and an entity occur, and how
-often together: a term discloses an entity by their pointwise mutual information, as a part of the
-information the entity itself holds, ``log(N / df(entity))``.  At ``generalise_at`` of it a term is
-generalised, at ``remove_at`` removed.  An estimate needs ``least_support`` different texts that hold
-both; counts and search have no other bound.
-
-Defined cases: missing and empty texts have no spans; copies count as documents but not as further
-support; a term inside a base span is not reported again; ties need no order, since all terms above
-the threshold count; very long texts are read whole; extra columns are not read.
+protected, and so is what they tell in general form: the domain and the name parts of a mailbox, an
+address's network, a card's issuer, a phone's exchange.  Over all documents it is counted how often a term
+and such an identity occur, and how often together: a term discloses an identity by their pointwise mutual
+information, as a part of the information the identity itself holds, ``log(N / df(identity))``.
+
+A single text tells nothing about the term, so a text's own occurrence is no evidence: of ``p``, the part
+of a term's documents that hold the identity, the lower confidence bound is taken (Wilson's, at
+``deviations``), with one text less than there are.  If the mutual information by that bound reaches
+``generalise_at``, the term discloses; it is removed if its estimate reaches ``remove_at``, and generalised
+otherwise.  Nothing else bounds counts or search; pairs that their two counts alone rule out aren't formed.
+
+Defined cases: missing and empty texts have no spans, and an empty table gives no rows; copies count as
+documents but not as evidence; a term inside a base span is not reported again; ties need no order, since
+all terms above the threshold count; very long texts are read whole; extra columns are not read, and
+``sanitised`` keeps them, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -94,11 +101,25 @@ def entity(kind: str, value: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{plain}") - (1 << 63)
 
 
+def identities(kind: str, value: str) -> set[int]:
+    """The identity of a value, and those of its general forms."""
+    general = set()
+    if kind == "email":
+        mailbox, domain = value.lower().rsplit("@", 1)
+        general = {f"domain:{domain}", *(f"name:{part}" for part in re.findall("[a-z]{3,}", mailbox))}
+    elif kind == "ip":
+        general = {f"network:{value.rsplit('.', 1)[0]}"}
+    else:
+        digits = re.sub("[^0-9]", "", value)
+        general = {f"issuer:{digits[:6]}" if kind == "card" else f"exchange:{digits[:-4]}"}
+    return {entity(kind, value), *(xxhash.xxh64_intdigest(text) - (1 << 63) for text in general)}
+
+
 BASE = "doc_id long, text_hash long, n_email long, n_ip long, n_card long, n_phone long, base string, entities array<long>"
 
 
 def base_table(docs: DataFrame) -> DataFrame:
-    """Per row: the base spans, their counts and entities."""
+    """Per row: the base spans, their counts and identities."""
     ship_code(docs.sparkSession)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +130,7 @@ def base_table(docs: DataFrame) -> DataFrame:
                 text = text.as_py() or ""
                 spans = base_spans(text)
                 kinds = [s[0] for s in spans]
-                rows.append((*[kinds.count(k) for k in BASE_KINDS], joined(spans), sorted({entity(k, text[a:b]) for k, a, b in spans})))
+                rows.append((*[kinds.count(k) for k in BASE_KINDS], joined(spans), sorted(set().union(*(identities(k, text[a:b]) for k, a, b in spans)))))
             columns = list(zip(*rows)) if rows else [[]] * 6
             types = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.int64())]
             names = ["doc_id", "text_hash", "n_email", "n_ip", "n_card", "n_phone", "base", "entities"]
@@ -129,44 +150,54 @@ def _terms(text: Column) -> Column:
 class Disclosure:
     generalise_at: float = 0.8
     remove_at: float = 0.95
-    least_support: int = 3
+    deviations: float = 1.645
+
+
+def lower_bound(part: Column, n: Column, deviations: float) -> Column:
+    """Wilson's lower bound of a part seen in ``n`` cases."""
+    square = deviations**2
+    spread = deviations * F.sqrt(part * (1 - part) / n + square / (4 * n * n))
+    return (part + square / (2 * n) - spread) / (1 + square / n)
 
 
 def disclosing_terms(docs: DataFrame, base: DataFrame, work: Workspace, settings: Disclosure) -> DataFrame:
-    """The texts with entities that a term of theirs discloses: text_hash, term, disclosure."""
-    n = base.count()
+    """The texts with identities that a term of theirs discloses: text_hash, term, part."""
+    n = float(base.count())
     held = base.select("text_hash", F.explode("entities").alias("entity"))
-    frequent = (
-        held.distinct().groupBy("entity").agg(F.count("*").alias("n_texts")).where(F.col("n_texts") >= settings.least_support)
-    )
-    entities = held.groupBy("entity").agg(F.count("*").alias("df_entity")).join(frequent.select("entity"), "entity")
-    bearing = work.keep(
-        held.groupBy("text_hash", "entity").agg(F.count("*").alias("copies")).join(entities, "entity"), "bearing"
-    )
+    # With copies, so that a text stands for as many documents; in one text alone nothing can be disclosed.
+    texts_of = held.groupBy("text_hash", "entity").agg(F.count("*").alias("copies"))
+    entities = texts_of.groupBy("entity").agg(F.sum("copies").alias("df_entity"), F.count("*").alias("n_texts"))
+    entities = entities.where(F.col("n_texts") >= 2).select("entity", "df_entity")
+    bearing = work.keep(texts_of.join(entities, "entity"), "bearing")
+    most = bearing.agg(F.max("df_entity")).first()[0] or 0
+    allowed = lambda df: F.pow(df, settings.generalise_at) * n ** (1 - settings.generalise_at)
     texts = bearing.select("text_hash").distinct()
     bearers = docs.select("text", F.xxhash64("text").alias("text_hash")).join(texts, "text_hash", "left_semi")
     own = bearers.dropDuplicates(["text_hash"]).select("text_hash", F.explode(_terms(F.col("text"))).alias("term"))
-    together = own.where(F.col("term") != "").join(bearing, "text_hash")
-    pairs = work.keep(
-        together.groupBy("entity", "term")
-        .agg(F.count("*").alias("support"), F.sum("copies").alias("df_both"), F.max("df_entity").alias("df_entity"))
-        .where(F.col("support") >= settings.least_support),
-        "pairs",
-    )
-    wanted = work.keep(pairs.select("term").distinct(), "terms")
+    own = work.keep(own.where(F.col("term") != ""), "own")
+    wanted = work.keep(own.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= 2).select("term"), "wanted")
     counts = (
         docs.select(F.explode(_terms(F.col("text"))).alias("term"))
         .join(wanted, "term", "left_semi")
         .groupBy("term")
         .agg(F.count("*").alias("df_term"))
+        .where(F.col("df_term") <= allowed(F.lit(float(most))))
     )
-    information = F.log(F.lit(float(n)) / F.col("df_entity"))
-    mutual = F.log(F.col("df_both") * float(n) / (F.col("df_term") * F.col("df_entity")))
-    part = F.when(information > 0, mutual / information).otherwise(0.0)
-    telling = work.keep(
-        pairs.join(counts, "term").withColumn("part", part).where(F.col("part") >= settings.generalise_at).select("entity", "term", "part"),
-        "telling",
+    # Both occur together at most as often as the identity, which rules out frequent terms beforehand.
+    together = work.keep(own.join(counts, "term"), "counted").join(bearing, "text_hash")
+    together = together.where(F.col("df_term") <= allowed(F.col("df_entity")))
+    pairs = together.groupBy("entity", "term").agg(
+        F.count("*").alias("support"),
+        F.sum("copies").alias("df_both"),
+        F.max("df_entity").alias("df_entity"),
+        F.max("df_term").alias("df_term"),
     )
+    information = F.log(F.lit(n) / F.col("df_entity"))
+    seen = F.col("df_both") / F.col("df_term")
+    share = lambda p: F.when(information > 0, 1 + F.log(p) / information).otherwise(0.0)
+    sure = lower_bound(seen, (F.col("support") - 1) / seen, settings.deviations)
+    telling = pairs.where(F.col("support") >= 2).where(share(sure) >= settings.generalise_at)
+    telling = work.keep(telling.select("entity", "term", share(seen).alias("part")), "telling")
     return together.join(telling, ["entity", "term"]).groupBy("text_hash", "term").agg(F.max("part").alias("part"))
 
 
@@ -243,8 +274,10 @@ def sanitise(text: str, spans: list[Span]) -> str:
 
 def sanitised(docs: DataFrame, settings: Disclosure = Disclosure()) -> DataFrame:
     """The rows with their texts sanitised; all other columns stay."""
-    spans = find_spans(docs, settings).select(F.col("text_hash").alias("__text"), F.col("spans").alias("__spans"))
-    keyed = docs.withColumn("__text", F.xxhash64("text")).join(spans.dropDuplicates(["__text"]), "__text", "left")
+    mark = uuid.uuid4().hex
+    key, found = f"text_{mark}", f"spans_{mark}"
+    spans = find_spans(docs, settings).select(F.col("text_hash").alias(key), F.col("spans").alias(found))
+    keyed = docs.withColumn(key, F.xxhash64("text")).join(spans.dropDuplicates([key]), key, "left")
     at = docs.columns.index("text")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,4 +287,4 @@ def sanitised(docs: DataFrame, settings: Disclosure = Disclosure()) -> DataFrame
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return keyed.select(*[F.col(f"`{c}`") for c in docs.columns], "__spans").mapInArrow(apply, docs.schema)
+    return keyed.select(*[F.col(f"`{c}`") for c in docs.columns], found).mapInArrow(apply, docs.schema)

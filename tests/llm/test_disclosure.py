@@ -1,6 +1,9 @@
 """Personal data: the base against plain patterns, disclosing terms, defined cases."""
 
+import math
+import random
 import re
+from collections import Counter, defaultdict
 
 import pytest
 from hypothesis import given, settings
@@ -71,3 +74,51 @@ def test_copies_are_no_support_and_empty_tables(spark):
     rows = d.find_spans(frame(spark, ["mail jo@a.org zanzibar"] * 9 + ["text"] * 50)).collect()
     assert {r["spans"] for r in rows} == {"email:5:13", ""}
     assert d.find_spans(frame(spark, ["x"]).where("false")).count() == 0
+
+
+def brute(texts, settings):
+    """Counted and estimated pair by pair."""
+    n, copies = len(texts), Counter(texts)
+    terms = {t: set(re.findall("[a-z0-9]+", t.lower())) for t in copies}
+    held = {t: set().union(*(d.identities(k, t[a:b]) for k, a, b in d.base_spans(t))) for t in copies}
+    df_term, df_entity, both = Counter(), Counter(), defaultdict(list)
+    for t, c in copies.items():
+        df_term.update(dict.fromkeys(terms[t], c))
+        df_entity.update(dict.fromkeys(held[t], c))
+        for e in held[t]:
+            for w in terms[t]:
+                both[e, w].append(c)
+    telling = {}
+    for (e, w), found in both.items():
+        p, information = sum(found) / df_term[w], math.log(n / df_entity[e])
+        if len(found) < 2 or information <= 0:
+            continue
+        m, z = (len(found) - 1) / p, settings.deviations
+        low = (p + z * z / 2 / m - z * math.sqrt(p * (1 - p) / m + z * z / 4 / m / m)) / (1 + z * z / m)
+        if 1 + math.log(low) / information >= settings.generalise_at:
+            telling[e, w] = 1 + math.log(p) / information
+    out = []
+    for t in texts:
+        parts = {w: max((telling[e, w] for e in held[t] if (e, w) in telling), default=None) for w in terms[t]}
+        base = d.base_spans(t)
+        own = {w: p for w, p in parts.items() if p is not None}
+        out.append(d.joined(d.ordered(base + d.term_spans(t, own, base, settings.remove_at))))
+    return out
+
+
+def test_estimates_equal_brute_force(spark):
+    pick = random.Random(3)
+    texts = []
+    for i in range(400):
+        words = [f"w{pick.randrange(60)}" for _ in range(12)]
+        club = pick.randrange(12)
+        if pick.random() < 0.2:  # members of few clubs, whose names mostly stand beside their domain or network
+            words += [f"club{club}"] + [f"n{pick.randrange(9)}.{pick.choice(['anna', 'bert'])}@c{club}.org"] * (pick.random() < 0.8)
+            words += [f"10.0.{club}.{pick.randrange(4)}"] * (pick.random() < 0.5)
+        pick.shuffle(words)
+        texts += [" ".join(words)] * pick.choice([1, 1, 1, 3])
+    expected = brute(texts, d.Disclosure())
+    found = {r["doc_id"]: r["spans"] for r in d.find_spans(frame(spark, texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == expected
+    kinds = Counter(span.split(":")[0] for spans in expected for span in spans.split(","))
+    assert kinds["generalise"] > 5 and kinds["remove"] > 0
