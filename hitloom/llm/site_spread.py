@@ -87,6 +87,8 @@ def remove_boilerplate(
     mark = uuid.uuid4().hex
     text_hash, lines = f"text_{mark}", f"lines_{mark}"
     bad = own.groupBy(F.col("text_hash").alias(text_hash)).agg(F.collect_set("line").alias(lines))
+    # They grow with the documents, so they are not broadcast, however few they are today.
+    bad = bad.hint("merge")
     kept = F.filter(_lines(F.col(text)), lambda x: ~F.array_contains(F.col(lines), F.xxhash64(x)))
     cleaned = F.when(F.col(lines).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(_lines(F.col(text))))
