@@ -3,18 +3,20 @@
 Vectors get one more coordinate so that the largest inner product is the smallest distance.  A few
 Gaussian (2-stable) projections make points of low dimension: the squared projected distance, divided by
 the squared distance, has a chi-square distribution.  The projected points lie in the cells of a kd-tree.
-A query takes its projected neighbours in order of their distance, cell by cell and leaf by leaf, and
-verifies them with the whole vectors; it stops when the chi-square test says that a better neighbour
-would have been met by now with probability ``certainty``.
+A query takes its projected neighbours in order of their distance, cell by cell, leaf by leaf and, by
+some more projections, point by point, and verifies them with the whole vectors; it stops when the
+chi-square test says that a better neighbour would have been met by now with probability ``certainty``.
 
 The tree's upper part is fitted on a bounded sample and cuts the vectors into cells; large cells are dealt
-out in blocks, so equal vectors don't meet in one task.  A query first visits its own cell, and then all
-cells that the test, with the neighbours known by then, can't rule out.
-
-Defined cases: missing vectors, and vectors with missing or non-finite components, of zero length, or of
-another dimension than the longest ones, take no part; equal scores go to the smaller vec_id; repeated
-vec_ids are candidates each for itself, but a query's own id is never one; fewer candidates than asked
-for are all returned; an empty table gives no rows; extra columns are not read.
+out in blocks and their queries in chunks, so neither equal vectors nor all queries meet in one task.  A
+query visits its own cell, then the nearest few, then all others, each time only cells that the test,
+with the neighbours known by then, can't rule out.
+
+Defined cases: missing vectors, and vectors with missing or non-finite components or of zero length, take
+no part; vectors of different dimensions have no inner product, so each dimension is searched by itself;
+equal scores go to the smaller vec_id; repeated vec_ids are candidates each for itself, but a query's own
+id is never one, and the query is the smallest of its vectors; fewer candidates than asked for are all
+returned; an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.llm.workspace import Workspace, ship_code
+from hitloom.llm.workspace import Workspace
 
 FOUND = "query_id long, vec_id long, score double"
 _CLOSE = 1e-9
@@ -36,13 +38,20 @@ _CLOSE = 1e-9
 
 @dataclass(frozen=True)
 class SearchSettings:
-    """``sample`` bounds the vectors that the cells are fitted on, ``block`` those of one task."""
+    """``sample`` bounds the vectors that the cells of a dimension are fitted on.
+
+    The tree has ``projections`` dimensions, the test of a point uses ``tests`` (both even).  A task holds
+    ``block`` vectors and ``chunk`` queries; ``rounds`` are the cells visited at once after the own.
+    """
 
     neighbours: int = 20
     projections: int = 8
+    tests: int = 32
     certainty: float = 0.95
     sample: int = 20_000
     block: int = 8_000
+    chunk: int = 2_000
+    rounds: tuple[int, ...] = (4,)
     leaf: int = 128
     seed: int = 29
 
@@ -108,13 +117,21 @@ def box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
 
 
 class Space:
-    """The projections, and the distance that belongs to an inner product."""
+    """The projections of one dimension, its cells, and the distance that belongs to an inner product."""
 
     def __init__(self, dimension: int, longest: float, settings: SearchSettings):
         random = np.random.default_rng(settings.seed)
-        self.matrix = random.standard_normal((dimension + 1, settings.projections))
+        self.matrix = random.standard_normal((dimension + 1, max(settings.projections, settings.tests)))
         self.longest, self.settings = longest, settings
-        self.bound = chi_square_bound(settings.projections, settings.certainty)
+        self.tree_bound = chi_square_bound(settings.projections, settings.certainty)
+        self.point_bound = chi_square_bound(settings.tests, settings.certainty)
+
+    def fit(self, sample: np.ndarray, n: int, first_cell: int) -> None:
+        """Place the cells, numbered from ``first_cell``, for ``n`` vectors of which ``sample`` are given."""
+        self.first_cell = first_cell
+        self.depth = max(0, ceil(log2(n / self.settings.block)))
+        self.nodes = split_cells(self.tree(self.candidates(sample)), self.depth)
+        self.low, self.high = cell_boxes(self.nodes, self.depth, self.settings.projections)
 
     def candidates(self, x: np.ndarray) -> np.ndarray:
         extra = np.sqrt(np.maximum(self.longest - (x**2).sum(axis=1), 0))
@@ -123,57 +140,74 @@ class Space:
     def queries(self, q: np.ndarray) -> np.ndarray:
         return q @ self.matrix[:-1]
 
-    def reach(self, q_norm: np.ndarray, worst: np.ndarray) -> np.ndarray:
-        """The squared projected distance at which the test stops, given the worst score still kept."""
-        return self.bound * np.maximum(q_norm + self.longest - 2 * worst, 0)
+    def tree(self, points: np.ndarray) -> np.ndarray:
+        return points[:, : self.settings.projections]
+
+    def cell(self, points: np.ndarray) -> np.ndarray:
+        return self.first_cell + cell_of(self.tree(points), self.nodes, self.depth)
+
+    def distance(self, q_norm: np.ndarray, worst: np.ndarray) -> np.ndarray:
+        """The squared distance of the worst neighbour still kept; the test stops at a bound times this."""
+        return np.maximum(q_norm + self.longest - 2 * worst, 0)
 
 
 def search_block(space: Space, ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarray, worst: np.ndarray):
-    """The best candidates of a block per query, as arrays of query, candidate and score."""
-    k = space.settings.neighbours
-    points, asked = space.candidates(x), space.queries(q)
-    depth = max(0, ceil(log2(max(1, len(x)) / space.settings.leaf)))
-    leaf = cell_of(points, split_cells(points, depth), depth)
+    """The best candidates of a block per query, as arrays of query, candidate and score, and the number verified."""
+    settings = space.settings
+    points, asked = space.candidates(x)[:, : settings.tests], space.queries(q)[:, : settings.tests]
+    tree_points = space.tree(space.candidates(x))
+    depth = max(0, ceil(log2(max(1, len(x)) / settings.leaf)))
+    leaf = cell_of(tree_points, split_cells(tree_points, depth), depth)
     order = np.argsort(leaf, kind="stable")
     cuts = np.searchsorted(leaf[order], np.arange(2**depth + 1))
-    used = [i for i in range(2**depth) if cuts[i + 1] > cuts[i]]
-    members = [order[cuts[i] : cuts[i + 1]] for i in used]
-    low = np.array([points[m].min(axis=0) for m in members])
-    high = np.array([points[m].max(axis=0) for m in members])
-    distance = box_distances(asked, low, high)
+    members = [order[a:b] for a, b in zip(cuts, cuts[1:]) if b > a]
+    low = np.array([tree_points[m].min(axis=0) for m in members])
+    high = np.array([tree_points[m].max(axis=0) for m in members])
+    distance = box_distances(space.tree(space.queries(q)), low, high)
     nearest = np.argsort(distance, axis=1, kind="stable")
     q_norm, worst = (q**2).sum(axis=1), worst.copy()
+    point_norm = (points**2).sum(axis=1)
     held_ids = [np.empty(0, np.int64) for _ in q_ids]
     held_scores = [np.empty(0) for _ in q_ids]
-    active = np.arange(len(q_ids))
+    active, verified = np.arange(len(q_ids)), 0
     for step in range(len(members)):
         now = nearest[active, step]
-        open_still = distance[active, now] <= space.reach(q_norm[active], worst[active])
+        open_still = distance[active, now] <= space.tree_bound * space.distance(q_norm[active], worst[active])
         active, now = active[open_still], now[open_still]
         if not len(active):
             break
         for one in np.unique(now):
-            own = members[one]
-            rows = active[now == one]
-            scores = q[rows] @ x[own].T
-            for row, score in zip(rows, scores):
-                good = np.flatnonzero((score >= worst[row] - _CLOSE) & (ids[own] != q_ids[row]))
-                if not len(good):
-                    continue
-                # Summed in one order for all, so that equal vectors have equal scores.
-                exact = (x[own[good]] * q[row]).sum(axis=1)
-                all_ids = np.concatenate([held_ids[row], ids[own[good]]])
-                all_scores = np.concatenate([held_scores[row], exact])
-                best = np.lexsort((all_ids, -all_scores))[:k]
-                held_ids[row], held_scores[row] = all_ids[best], all_scores[best]
-                if len(best) == k:
-                    worst[row] = max(worst[row], all_scores[best[-1]])
+            own, rows = members[one], active[now == one]
+            apart = point_norm[own] - 2 * (asked[rows] @ points[own].T) + (asked[rows] ** 2).sum(axis=1)[:, None]
+            for row, far in zip(rows, apart):
+                near = own[np.argsort(far, kind="stable")]
+                far = np.sort(far)
+                # In parts of ascending projected distance, so that the neighbours met stop the test earlier.
+                at, width = 0, settings.neighbours
+                while at < len(near):
+                    reach = space.point_bound * space.distance(q_norm[row], worst[row]) + _CLOSE
+                    end = min(at + width, int(np.searchsorted(far, reach, "right")))
+                    if end <= at:
+                        break
+                    part, at, width = near[at:end], end, 2 * width
+                    verified += len(part)
+                    part = part[ids[part] != q_ids[row]]
+                    # Summed in one order for all, so that equal vectors have equal scores.
+                    exact = (x[part] * q[row]).sum(axis=1)
+                    good = exact >= worst[row]
+                    all_ids = np.concatenate([held_ids[row], ids[part[good]]])
+                    all_scores = np.concatenate([held_scores[row], exact[good]])
+                    best = np.lexsort((all_ids, -all_scores))[: settings.neighbours]
+                    held_ids[row], held_scores[row] = all_ids[best], all_scores[best]
+                    if len(best) == settings.neighbours:
+                        worst[row] = max(worst[row], all_scores[best[-1]])
     lengths = [len(h) for h in held_ids]
     empty = np.empty(0, np.int64)
     return (
         np.repeat(q_ids, lengths),
         np.concatenate([empty, *held_ids]),
         np.concatenate([empty.astype(float), *held_scores]),
+        verified,
     )
 
 
@@ -187,89 +221,124 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1).astype(np.float64) if len(column) else np.empty((0, 1))
 
 
+def _by_dimension(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each dimension of a column of vectors, the rows that have it, and their matrix."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    for d in np.unique(sizes):
+        rows = np.flatnonzero(sizes == d)
+        yield int(d), rows, _matrix(column.take(pa.array(rows)))
+
+
+def _fit_spaces(usable: DataFrame, settings: SearchSettings) -> dict[int, Space]:
+    """A space per dimension; its cells are placed by a bounded sample, chosen by hash."""
+    spaces: dict[int, Space] = {}
+    cells = 0
+    facts = usable.groupBy(F.size("x").alias("d")).agg(F.count("*").alias("n"), F.max("norm").alias("longest"))
+    for d, n, longest in sorted(tuple(row) for row in facts.collect()):
+        sample = usable.where(F.size("x") == d).orderBy(F.xxhash64("vec_id"), "vec_id", "x").limit(settings.sample)
+        spaces[d] = Space(d, longest * (1 + 1e-12), settings)
+        spaces[d].fit(_matrix(sample.select("x").toArrow().column("x").combine_chunks()), n, cells)
+        cells += 2 ** spaces[d].depth
+    return spaces
+
+
 def nearest(
     vectors: DataFrame, asked: Column, settings: SearchSettings = SearchSettings(), vec_id: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """Per row that fulfils ``asked``: its neighbours among all rows, with rank and score."""
     spark = vectors.sparkSession
-    ship_code(spark)
     work = Workspace(spark, "projections")
-    usable = vectors.withColumn("asked", asked).select(
-        F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("x"), "asked"
+    usable = vectors.select(
+        F.col(vec_id).cast("long").alias("vec_id"),
+        F.col(vector).cast("array<double>").alias("x"),
+        F.coalesce(asked, F.lit(False)).alias("asked"),
     )
     usable = usable.where(_usable(F.col("x")) & F.col("vec_id").isNotNull())
-    norm = F.aggregate("x", F.lit(0.0), lambda a, b: a + b * b)
-    usable = usable.withColumn("norm", norm)
-    longest_first = usable.groupBy(F.size("x").alias("d")).agg(F.count("*").alias("n"), F.max("norm").alias("longest"))
-    facts = longest_first.orderBy(F.desc("d")).first()
-    if facts is None:
+    usable = usable.withColumn("norm", F.aggregate("x", F.lit(0.0), lambda a, b: a + b * b))
+    spaces = _fit_spaces(usable, settings)
+    if not spaces:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    usable = usable.where(F.size("x") == facts["d"])
-    space = Space(facts["d"], facts["longest"] * (1 + 1e-12), settings)
-    # A bounded sample, chosen by hash, to place the cells.
-    sample = usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(settings.sample).select("x").toArrow()
-    depth = max(0, ceil(log2(facts["n"] / settings.block)))
-    nodes = split_cells(space.candidates(_matrix(sample.column("x").combine_chunks())), depth)
-    low, high = cell_boxes(nodes, depth, settings.projections)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column("x"))
-            cell = cell_of(space.candidates(x), nodes, depth) if len(x) else np.empty(0, np.int64)
+            cell = np.empty(batch.num_rows, np.int64)
+            for d, rows, x in _by_dimension(batch.column("x")):
+                cell[rows] = spaces[d].cell(spaces[d].candidates(x))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], names=[*batch.schema.names, "cell"])
 
-    placed = work.keep(usable.select("vec_id", "x", "asked").mapInArrow(place, "vec_id long, x array<double>, asked boolean, cell long"), "placed")
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"))
-    sizes = work.keep(sizes.select("cell", F.ceil(F.col("n") / settings.block).cast("long").alias("blocks")), "sizes")
+    placed_schema = "vec_id long, x array<double>, asked boolean, cell long"
+    placed = work.keep(usable.select("vec_id", "x", "asked").mapInArrow(place, placed_schema), "placed")
+    sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / settings.block).cast("long").alias("blocks"))
+    sizes = work.keep(sizes, "sizes")
     blocks = placed.join(sizes, "cell").select("vec_id", "x", "cell", F.pmod(F.xxhash64("vec_id", "x"), "blocks").alias("block"))
-    queries = placed.where("asked").dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("query_id"), F.col("x").alias("q"))
+    queries = placed.where("asked").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("x").alias("q"))
 
     def search(candidates: pa.Table, queries: pa.Table) -> pa.Table:
         found = ([], [], [])
         if candidates.num_rows and queries.num_rows:
             candidates = candidates.sort_by("vec_id")
+            x = _matrix(candidates.column("x").combine_chunks())
             found = search_block(
-                space,
+                spaces[x.shape[1]],
                 candidates.column("vec_id").to_numpy(),
-                _matrix(candidates.column("x").combine_chunks()),
+                x,
                 queries.column("query_id").to_numpy(),
                 _matrix(queries.column("q").combine_chunks()),
                 queries.column("worst").to_numpy(),
             )
-        return pa.table([pa.array(a, t) for a, t in zip(found, (pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score"])
+        arrays = [pa.array(a, t) for a, t in zip(found, (pa.int64(), pa.int64(), pa.float64()))]
+        return pa.table(arrays, names=["query_id", "vec_id", "score"])
 
     def visit(visits: DataFrame, name: str) -> DataFrame:
-        dealt = visits.join(sizes, "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        pairs = blocks.groupBy("cell", "block").cogroup(dealt.select("query_id", "q", "worst", "cell", "block").groupBy("cell", "block"))
-        return work.keep(pairs.applyInArrow(search, FOUND), name)
-
-    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            q = space.queries(_matrix(batch.column("q"))) if batch.num_rows else np.empty((0, settings.projections))
-            cell = pa.array(cell_of(q, nodes, depth))
-            worst = pa.array(np.full(batch.num_rows, -np.inf))
-            yield pa.RecordBatch.from_arrays([*batch.columns, worst, cell], names=["query_id", "q", "worst", "cell"])
-
-    visit_schema = "query_id long, q array<double>, worst double, cell long"
-    at_home = work.keep(queries.mapInArrow(homes, visit_schema), "home")
-    first = visit(at_home, "first")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    top = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == settings.neighbours)
-    known = at_home.drop("worst").join(top.select("query_id", F.col("score").alias("worst")), "query_id", "left")
-    known = known.select("query_id", "q", F.coalesce("worst", F.lit(float("-inf"))).alias("worst"), "cell")
-
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            q, worst = _matrix(batch.column("q")), batch.column("worst").to_numpy()
-            distance = box_distances(space.queries(q), low, high)
-            wanted = distance <= space.reach((q**2).sum(axis=1), worst)[:, None]
-            wanted[np.arange(len(q)), batch.column("cell").to_numpy()] = False
-            row, cell = np.nonzero(wanted)
-            columns = [batch.column(c).take(pa.array(row)) for c in range(3)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(cell)], names=["query_id", "q", "worst", "cell"])
-
-    more = visit(known.mapInArrow(others, visit_schema), "more")
-    ranked = first.unionByName(more).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.neighbours)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        """Search the cells of ``visits``: every block of a cell with every chunk of its queries."""
+        visits = work.keep(visits, f"{name}-visits")
+        chunks = visits.groupBy("cell").agg(F.ceil(F.count("*") / settings.chunk).cast("long").alias("chunks"))
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        asked = visits.join(sizes, "cell").join(chunks, "cell").withColumn("chunk", F.pmod(F.xxhash64("query_id"), "chunks"))
+        asked = asked.withColumn("block", every("blocks")).select("query_id", "q", "worst", "cell", "block", "chunk")
+        held = blocks.join(chunks, "cell").withColumn("chunk", every("chunks")).drop("chunks")
+        key = ["cell", "block", "chunk"]
+        return work.keep(held.groupBy(key).cogroup(asked.groupBy(key)).applyInArrow(search, FOUND), name)
+
+    def cells_of(first: int, last: int | None):
+        """Visits of each query to the cells from number ``first`` to ``last``, by distance, that the test leaves."""
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for d, rows, q in _by_dimension(batch.column("q")):
+                    space = spaces[d]
+                    projected = space.tree(space.queries(q))
+                    worst = batch.column("worst").to_numpy(zero_copy_only=False)[rows]
+                    distance = box_distances(projected, space.low, space.high)
+                    open_still = distance <= space.tree_bound * space.distance((q**2).sum(axis=1), worst)[:, None]
+                    # The own cell is at distance 0; a query on a border may have others there.
+                    distance[np.arange(len(q)), space.cell(projected) - space.first_cell] = -1
+                    place = np.argsort(np.argsort(distance, axis=1, kind="stable"), axis=1)
+                    row, cell = np.nonzero(open_still & (place >= first) & (place < (last or place.shape[1])))
+                    taken = [batch.column(c).take(pa.array(rows[row])) for c in range(3)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*taken, pa.array(cell + space.first_cell)], names=["query_id", "q", "worst", "cell"]
+                    )
+
+        return choose
+
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def top(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= settings.neighbours)
+
+    found, first = None, 0
+    most = max(2**space.depth for space in spaces.values())
+    for width in (1, *settings.rounds, None):
+        if first >= most:
+            break
+        known = queries.withColumn("worst", F.lit(float("-inf")))
+        if found is not None:
+            last_kept = found.where(F.col("rank") == settings.neighbours).select("query_id", F.col("score").alias("worst"))
+            known = queries.join(last_kept, "query_id", "left").withColumn("worst", F.coalesce("worst", F.lit(float("-inf"))))
+        last = None if width is None else first + width
+        visits = known.mapInArrow(cells_of(first, last), "query_id long, q array<double>, worst double, cell long")
+        new = visit(visits, f"found-{first}")
+        found = top(new if found is None else found.drop("rank").unionByName(new))
+        found, first = work.keep(found, f"top-{first}"), last or most
+    return found.select("query_id", "rank", "vec_id", "score")

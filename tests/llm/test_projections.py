@@ -54,3 +54,50 @@ def test_ties_bad_vectors_and_few_candidates(spark):
 
 def test_chi_square_bound():
     assert abs(projections.chi_square_bound(8, 0.95) - 15.507) < 0.01
+
+
+def test_cells_in_rounds_blocks_and_chunks(spark):
+    pick = np.random.default_rng(8)
+    x = pick.standard_normal((900, 12))
+    x[300:600] = x[300]  # equal vectors fill blocks of one cell
+    rows = [(i, [float(v) for v in row], "s") for i, row in enumerate(x)]
+    settings = projections.SearchSettings(neighbours=5, block=50, chunk=7, leaf=16, sample=300, rounds=(2, 3))
+    found, expected = search(spark, rows, settings), brute(rows, lambda i: i % 20 == 0, 5)
+    assert found.keys() == expected.keys() and all(len(v) == 5 for v in found.values())
+    assert np.mean([len(set(found[q]) & set(expected[q])) / 5 for q in expected]) >= 0.9
+
+
+def test_each_dimension_is_searched_by_itself(spark):
+    short = [(i, [1.0, float(i)], "s") for i in range(40)]
+    long = [(i, [1.0, 0.0, float(i % 7)], "s") for i in range(100, 141)]
+    found = search(spark, [*short, *long, (200, [1.0] * 9, "s")])
+    expected = brute(short, lambda i: i % 20 == 0, 5) | brute(long, lambda i: i % 20 == 0, 5)
+    assert found == expected
+
+
+def test_different_queries_of_one_id(spark):
+    rows = [(20, [2.0, 0.0], "s"), (20, [0.0, 2.0], "s"), (1, [3.0, 0.0], "s"), (2, [0.0, 4.0], "s")]
+    assert search(spark, rows) == {20: [2, 1]}
+    table = spark.createDataFrame(rows, SCHEMA)
+    scores = projections.nearest(table, F.col("vec_id") % 20 == 0, SMALL).orderBy("rank").collect()
+    assert [r["score"] for r in scores] == [8.0, 0.0]
+
+
+def test_an_empty_table(spark):
+    assert search(spark, []) == {}
+
+
+def test_the_point_test_spares_verifications():
+    pick = np.random.default_rng(4)
+    centres = 3 * pick.standard_normal((20, 32))
+    x = centres[pick.integers(0, 20, 2000)] + 0.3 * pick.standard_normal((2000, 32))
+    settings = projections.SearchSettings(neighbours=10)
+    space = projections.Space(32, float((x**2).sum(axis=1).max()), settings)
+    ids, asked = np.arange(2000), np.arange(0, 2000, 40)
+    q_ids, found, _, verified = projections.search_block(space, ids, x, asked, x[asked], np.full(50, -np.inf))
+    hits = 0
+    for i in asked:
+        score = (x * x[i]).sum(axis=1)
+        score[i] = -np.inf
+        hits += len(set(np.argsort(-score)[:10]) & set(found[q_ids == i]))
+    assert hits >= 0.9 * 500 and verified < 0.5 * 2000 * 50
