@@ -1,13 +1,13 @@
 """Token ids in Arrow stream files of fixed-size-list batches.
 
-A shard is an Arrow stream file.  Its rows are sequences of equal length: the ids, a mask of the real
-ids (the last sequence of a shard is padded) and a mask of the last id of each document.  All batches
-but the last have the same number of rows and so of bytes; a memory-mapped shard gives any sequence
-and mask as a view.  A second stream file beside it lists the shard's documents in their order.
-
-Defined cases: a missing or empty text has only the end id; a missing doc_id sorts first; repeated
-doc_ids are ordered by their text's hash and all kept; an empty table gives no shard; other columns
-of the input are not read.
+A shard is an Arrow stream file.  Its rows are sequences of equal length: the ids, and a mask with one
+byte for each, 1 for real ids and 0 for those that pad the shard's last sequence.  All batches but the
+last have the same number of rows and so of bytes; a memory-mapped shard gives any sequence and mask as a
+view.  A second stream file beside it lists the shard's documents in their order, and so where they end.
+
+Defined cases: a missing or empty text has only the end id; a text of any length is encoded whole and
+runs on over as many sequences as it takes; a missing doc_id sorts first; repeated doc_ids are ordered by
+their text's hash and all kept; an empty table gives no shard; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -31,8 +31,17 @@ DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long, shard long, first_sequence long"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder as Spark itself resolves it: without a scheme, it lies in the default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toString()
+
+
 def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
+    """The file system of a qualified path; a plain path is a local one."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    if "://" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path
 
@@ -41,8 +50,7 @@ def sequence_schema(length: int, ids: pa.DataType) -> pa.Schema:
     return pa.schema(
         [
             ("input_ids", pa.list_(ids, length)),
-            ("attention_mask", pa.list_(pa.bool_(), length)),
-            ("document_end", pa.list_(pa.bool_(), length)),
+            ("attention_mask", pa.list_(pa.uint8(), length)),
         ]
     )
 
@@ -55,7 +63,6 @@ class _ShardWriter:
         self._schema = sequence_schema(length, pa.from_numpy_dtype(dtype))
         self._writer = ipc.new_stream(sink, self._schema)
         self._parts: list[np.ndarray] = []
-        self._ends: list[int] = []
         self._held = 0
         self.n_tokens = 0
 
@@ -63,25 +70,20 @@ class _ShardWriter:
         self._parts.append(ids)
         self._held += len(ids)
         self.n_tokens += len(ids)
-        self._ends.append(self._held - 1)
         if self._held >= self._capacity:
             self._flush()
 
     def _flush(self, closing: bool = False) -> None:
         ids = np.concatenate(self._parts)
-        ends = np.zeros(len(ids), bool)
-        ends[self._ends] = True
         n = len(ids) if closing else len(ids) - len(ids) % self._capacity
         for at in range(0, n, self._capacity):
-            self._write(ids[at : min(at + self._capacity, n)], ends[at : min(at + self._capacity, n)])
+            self._write(ids[at : min(at + self._capacity, n)])
         self._parts, self._held = [ids[n:]], len(ids) - n
-        self._ends = list(np.flatnonzero(ends[n:]))
 
-    def _write(self, ids: np.ndarray, ends: np.ndarray) -> None:
+    def _write(self, ids: np.ndarray) -> None:
         short = -len(ids) % self._length
-        mask = np.arange(len(ids) + short) < len(ids)
-        columns = (np.pad(ids, (0, short)), mask, np.pad(ends, (0, short)))
-        lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self._length) for x in columns]
+        mask = (np.arange(len(ids) + short) < len(ids)).astype(np.uint8)
+        lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self._length) for x in (np.pad(ids, (0, short)), mask)]
         self._writer.write_batch(pa.record_batch(lists, schema=self._schema))
 
     def close(self) -> None:
@@ -106,6 +108,7 @@ def write_token_files(
     """
     spark = docs.sparkSession
     ship_code(spark)
+    folder = qualified(spark, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -175,25 +178,42 @@ class TokenShard:
         return self.table.column("input_ids")[row].values.to_numpy(zero_copy_only=True)
 
     def mask(self, row: int) -> np.ndarray:
-        return self.table.column("attention_mask")[row].values.to_numpy(zero_copy_only=False)
+        return self.table.column("attention_mask")[row].values.to_numpy(zero_copy_only=True).view(bool)
 
     def _flat(self, name: str) -> Iterator[np.ndarray]:
         for chunk in self.table.column(name).chunks:
-            yield chunk.flatten().to_numpy(zero_copy_only=False)
+            yield chunk.flatten().to_numpy(zero_copy_only=True)
+
+    def _ends(self) -> np.ndarray:
+        return np.cumsum(self.documents.column("n_tokens").to_numpy())
+
+    def document_ends(self, row: int) -> np.ndarray:
+        """The places in a sequence at which a document has its last id."""
+        width = len(self.sequence(row))
+        ends = self._ends() - 1 - row * width
+        return ends[(ends >= 0) & (ends < width)]
 
     def each_document(self) -> Iterator[np.ndarray]:
         """The ids of one document after the other, a batch of sequences in memory at a time."""
         held: list[np.ndarray] = []
-        for ids, ends in zip(self._flat("input_ids"), self._flat("document_end")):
-            at = 0
-            for end in np.flatnonzero(ends) + 1:
-                yield np.concatenate([*held, ids[at:end]])
-                held, at = [], end
-            held.append(ids[at:])
+        ends, at = self._ends(), 0
+        for ids, mask in zip(self._flat("input_ids"), self._flat("attention_mask")):
+            ids = ids[: np.count_nonzero(mask)]
+            first, last = np.searchsorted(ends, [at, at + len(ids)], "right")
+            cut = 0
+            for end in (ends[first:last] - at).tolist():
+                yield np.concatenate([*held, ids[cut:end]])
+                held, cut = [], end
+            if cut < len(ids):
+                held.append(ids[cut:])
+            at += len(ids)
+        if held:
+            raise ValueError("ids after the end of the last document")
 
 
 def read_token_files(spark: SparkSession, folder: str, sequence_length: int = 2048) -> DataFrame:
     """A row per document, from the files alone: where its ids start, how many they are, their CRC."""
+    folder = qualified(spark, folder)
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     # One row per shard: this window's single task sees the manifest only.

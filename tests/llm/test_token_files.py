@@ -58,6 +58,26 @@ def test_sequences_have_equal_length_and_are_views(spark, tmp_path, plain):
     assert len(sizes) == 1
 
 
+def test_masks_are_views_and_documents_end_where_listed(spark, tmp_path, plain):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string, start string")
+    folder = f"file://{tmp_path}"
+    token_files.write_token_files(docs, folder, PATH, 2, 64, 4, 1)
+    shard = token_files.TokenShard.open(folder, "shard-000000")
+    n = shard.documents.column("n_tokens").to_numpy().sum()
+    mask = shard.mask(len(shard) - 1)
+    assert mask.dtype == bool and not mask.flags.owndata and not mask.flags.writeable
+    assert mask.tolist() == [i < (n % 64 or 64) for i in range(64)] and shard.mask(0).all()
+    ends = np.concatenate([64 * row + shard.document_ends(row) for row in range(len(shard))])
+    assert ends.tolist() == (np.cumsum(shard.documents.column("n_tokens").to_numpy()) - 1).tolist()
+    assert [shard.sequence(e // 64)[e % 64] for e in ends] == [2] * len(ROWS)
+
+
+def test_folders_are_resolved_as_spark_does(spark):
+    assert token_files.qualified(spark, "/some/where") == "file:/some/where"
+    assert token_files.qualified(spark, "file:///some/where") == "file:/some/where"
+    assert token_files._filesystem("file:/some/where")[1] == token_files._filesystem("file:///some/where")[1] == "/some/where"
+
+
 def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert token_files.write_token_files(docs, str(tmp_path), PATH, 2).count() == 0
