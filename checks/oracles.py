@@ -488,6 +488,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "scan_ua_day": _ua("SELECT fullVisitorId, visitId, channelGrouping, date FROM ga_sessions WHERE date = '20240115'"),
         "csv_roundtrip": _numbered(PRODUCTS),
+        "csv_shards_by_size": _numbered(PRODUCTS),
         "csv_load": UNTIDY,
         "csv_load_rejected": REJECTED,
         "csv_rejected_origin": REJECTED_ORIGIN,

@@ -107,6 +107,18 @@ def csv_roundtrip(spark, sf_dir):
     return marts.load_csv(spark, path, schema)[0]
 
 
+@on_files
+def csv_shards_by_size(spark, sf_dir):
+    """The same by shards of 256 KB at most."""
+
+    def write(path):
+        marts.export_csv(products.products(exports.ga4(spark, sf_dir)), path, bytes_per_file=256 << 10)
+
+    path = exports.write_once(spark, sf_dir, "products_csv_shards", write)
+    schema = products.products(exports.ga4(spark, sf_dir)).schema
+    return marts.load_csv(spark, path, schema)[0]
+
+
 RAW_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),

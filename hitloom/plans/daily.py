@@ -107,11 +107,17 @@ def load_ga4_day(spark: SparkSession, source: str, target: str, day: date | None
 
 
 def export_day(
-    spark: SparkSession, name: str, source: str, target: str, day: date | None = None, rows_per_file: int = 0
+    spark: SparkSession,
+    name: str,
+    source: str,
+    target: str,
+    day: date | None = None,
+    rows_per_file: int = 0,
+    bytes_per_file: int = 0,
 ) -> str:
     """Build one day and write it as gzip CSV to the mart's own folder; returns that folder."""
     path = f"{target}/{MARTS[name].folder}"
-    marts.export_csv(build_day(spark, name, source, day), path, rows_per_file)
+    marts.export_csv(build_day(spark, name, source, day), path, rows_per_file, bytes_per_file)
     return path
 
 

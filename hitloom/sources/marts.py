@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -14,12 +15,36 @@ LOAD_DAY = "load_day"
 TRIMMED = "".join(map(chr, range(33)))
 
 
-def export_csv(mart: DataFrame, path: str, rows_per_file: int = 0) -> None:
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+#: AQE joins a rest of up to this share of a partition to its neighbour.
+_REST = 0.2
+
+
+@contextmanager
+def _partitions_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Let AQE aim at partitions of ``size`` bytes, for the queries started inside."""
+    before = spark.conf.get(_ADVISORY, None)
+    spark.conf.set(_ADVISORY, f"{size}b")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_ADVISORY)
+        else:
+            spark.conf.set(_ADVISORY, before)
+
+
+def export_csv(mart: DataFrame, path: str, rows_per_file: int = 0, bytes_per_file: int = 0) -> None:
     """Write sharded gzip CSV without header, replacing what is there.
 
-    Quotes are doubled and blanks kept.  ``rows_per_file`` bounds a shard; gzip files cannot be split
-    when they are read back.
+    Quotes are doubled and blanks kept.  Gzip files cannot be split when they are read back, so their
+    size bounds the tasks of the load: ``rows_per_file`` bounds a shard's rows.  ``bytes_per_file`` spreads
+    the rows anew so that no shard's rows take more than that, as Spark shuffles them; gzip makes the files
+    smaller still.  Few large partitions are divided by it and many small ones merged.
     """
+    if bytes_per_file:
+        with _partitions_of(mart.sparkSession, max(1, int(bytes_per_file / (1 + _REST)))):
+            return export_csv(mart.hint("rebalance"), path, rows_per_file)
     (
         mart.write.mode("overwrite")
         .option("compression", "gzip")

@@ -76,6 +76,18 @@ def test_csv_shards(spark, tmp_path):
     assert len(list((tmp_path / "csv").glob("part-*"))) == 3
 
 
+@pytest.mark.parametrize("partitions", [1, 40])
+def test_csv_shards_by_size(spark, tmp_path, partitions):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    mart = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")).repartition(partitions)
+    marts.export_csv(mart, str(tmp_path / "csv"), bytes_per_file=128 << 10)
+    sizes = [f.stat().st_size for f in (tmp_path / "csv").glob("part-*")]
+    assert max(sizes) <= 128 << 10 and sum(sizes) / len(sizes) > 32 << 10
+    loaded = marts.load_csv(spark, str(tmp_path / "csv"), mart.schema)[0]
+    assert loaded.exceptAll(mart).count() == 0 and loaded.count() == 20_000
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
+
+
 def test_untidy_csv(spark, tmp_path):
     lines = [
         '"a""b,c",1,2024-01-02,true,0.5',
