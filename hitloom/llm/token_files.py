@@ -1,9 +1,10 @@
 """Token ids in Arrow stream files of fixed-size-list batches.
 
 A shard is an Arrow stream file.  Its rows are sequences of equal length: the ids, and a mask with one
-byte for each, 1 for real ids and 0 for those that pad the shard's last sequence.  All batches but the
-last have the same number of rows and so of bytes; a memory-mapped shard gives any sequence and mask as a
-view.  A second stream file beside it lists the shard's documents in their order, and so where they end.
+byte for each, 1 for real ids and 0 for those that pad the shard's last sequence.  Nearly all masks are
+equal, so they are a dictionary column: each different one is stored once.  All batches but the last have
+the same number of rows and so of bytes; a memory-mapped shard gives any sequence and mask as a view.  A
+second stream file beside it lists the shard's documents in their order, and so where they end.
 
 Defined cases: a missing or empty text has only the end id; a text of any length is encoded whole and
 runs on over as many sequences as it takes; a missing doc_id sorts first; repeated doc_ids are ordered by
@@ -50,7 +51,7 @@ def sequence_schema(length: int, ids: pa.DataType) -> pa.Schema:
     return pa.schema(
         [
             ("input_ids", pa.list_(ids, length)),
-            ("attention_mask", pa.list_(pa.uint8(), length)),
+            ("attention_mask", pa.dictionary(pa.int8(), pa.list_(pa.uint8(), length))),
         ]
     )
 
@@ -82,9 +83,15 @@ class _ShardWriter:
 
     def _write(self, ids: np.ndarray) -> None:
         short = -len(ids) % self._length
-        mask = (np.arange(len(ids) + short) < len(ids)).astype(np.uint8)
-        lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self._length) for x in (np.pad(ids, (0, short)), mask)]
-        self._writer.write_batch(pa.record_batch(lists, schema=self._schema))
+        sequences = pa.FixedSizeListArray.from_arrays(pa.array(np.pad(ids, (0, short))), self._length)
+        which = np.zeros(len(sequences), np.int8)
+        different = [np.ones(self._length, np.uint8)]
+        if short:
+            which[-1] = 1
+            different.append((np.arange(self._length) < self._length - short).astype(np.uint8))
+        different = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(different)), self._length)
+        masks = pa.DictionaryArray.from_arrays(pa.array(which), different)
+        self._writer.write_batch(pa.record_batch([sequences, masks], schema=self._schema))
 
     def close(self) -> None:
         if self._held:
@@ -178,11 +185,14 @@ class TokenShard:
         return self.table.column("input_ids")[row].values.to_numpy(zero_copy_only=True)
 
     def mask(self, row: int) -> np.ndarray:
-        return self.table.column("attention_mask")[row].values.to_numpy(zero_copy_only=True).view(bool)
+        return self.table.column("attention_mask")[row].value.values.to_numpy(zero_copy_only=True).view(bool)
 
-    def _flat(self, name: str) -> Iterator[np.ndarray]:
-        for chunk in self.table.column(name).chunks:
-            yield chunk.flatten().to_numpy(zero_copy_only=True)
+    def _batches(self) -> Iterator[np.ndarray]:
+        """The real ids of each batch; only a shard's last sequence is padded."""
+        for batch in self.table.to_batches():
+            ids = batch.column("input_ids").flatten().to_numpy(zero_copy_only=True)
+            last = batch.column("attention_mask")[-1].value.values.to_numpy(zero_copy_only=True)
+            yield ids[: len(ids) - len(last) + np.count_nonzero(last)]
 
     def _ends(self) -> np.ndarray:
         return np.cumsum(self.documents.column("n_tokens").to_numpy())
@@ -197,8 +207,7 @@ class TokenShard:
         """The ids of one document after the other, a batch of sequences in memory at a time."""
         held: list[np.ndarray] = []
         ends, at = self._ends(), 0
-        for ids, mask in zip(self._flat("input_ids"), self._flat("attention_mask")):
-            ids = ids[: np.count_nonzero(mask)]
+        for ids in self._batches():
             first, last = np.searchsorted(ends, [at, at + len(ids)], "right")
             cut = 0
             for end in (ends[first:last] - at).tolist():
