@@ -3,6 +3,9 @@
 The queries then read them the way a user would: as Parquet tables partitioned by day, with column
 and partition pruning.  They are written to the session's shared checkpoint folder, once per Spark
 application and scale folder.
+
+An exported row is many times as large as what it is made of, so all shuffles and sorts come first, on
+the narrow rows, and the wide ones are made on their way into the files.
 """
 
 from __future__ import annotations
@@ -16,7 +19,10 @@ from checks import rules
 from hitloom.functions import flags
 from hitloom.schemas import GA4_EVENTS, UA_SESSIONS
 from hitloom.session import shared_folder
-from hitloom.sources import exports
+from hitloom.sources import exports, marts
+
+#: Shuffled bytes of the narrow rows that one task writes.
+BYTES_PER_FILE = 16 << 20
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -47,26 +53,37 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     def unset_if(condition: Column, value: Column) -> Column:
         return F.when(condition, "(not set)").otherwise(value)
 
+    placed = (
+        lines.join(parts, "l_partkey")
+        .select(
+            F.col("l_orderkey").alias("event_id"),
+            "l_linenumber",
+            "l_partkey",
+            "l_suppkey",
+            "l_extendedprice",
+            (F.col("l_returnflag") == "R").alias("returned"),
+            unset_if(F.col("l_linenumber") % 4 == 0, F.col("p_name")).alias("item_name"),
+            unset_if(F.col("p_size") % 5 == 0, F.col("p_type")).alias("item_category"),
+            F.when(~((F.col("l_linestatus") == "F") & (F.col("l_linenumber") % 2 == 0)), F.col("p_brand")).alias(
+                "promotion_name"
+            ),
+        )
+        .repartition("event_id")
+    )
     item = F.struct(
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
         "l_extendedprice",
         F.struct(
-            unset_if(F.col("l_linenumber") % 4 == 0, F.col("p_name")).alias("item_name"),
+            F.col("item_name"),
             F.when(F.col("l_linenumber") % 3 != 0, _text("list", F.col("l_suppkey") % 5)).alias("item_list_name"),
-            unset_if(F.col("p_size") % 5 == 0, F.col("p_type")).alias("item_category"),
-            unset_if(F.col("l_returnflag") == "R", _text("P", F.col("l_suppkey") % 10)).alias("promotion_id"),
-            F.when(~((F.col("l_linestatus") == "F") & (F.col("l_linenumber") % 2 == 0)), F.col("p_brand")).alias(
-                "promotion_name"
-            ),
+            F.col("item_category"),
+            unset_if(F.col("returned"), _text("P", F.col("l_suppkey") % 10)).alias("promotion_id"),
+            F.col("promotion_name"),
         ).alias("item"),
     )
-    return (
-        lines.join(parts, "l_partkey")
-        .groupBy(F.col("l_orderkey").alias("event_id"))
-        .agg(F.sort_array(F.collect_list(item))["item"].alias("items"))
-    )
+    return placed.groupBy("event_id").agg(F.sort_array(F.collect_list(item))["item"].alias("items"))
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,10 +206,13 @@ def derive_ga4_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "items": F.col("items"),
         "event_date": F.col("event_date"),
     }
+    narrow = _base(spark, sf_dir).select(
+        "event_id", "user_id", "us", "event_date", "event_name", "bucket", "value", "items"
+    )
     # Every seventh event is delivered twice.
     deliveries = F.explode(F.when(event % 7 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
-    rows = _base(spark, sf_dir).select("*", deliveries.alias("delivery"))
-    return rows.select(*[column.alias(name) for name, column in columns.items()])
+    rows = narrow.hint("rebalance", "event_date").select("*", deliveries.alias("delivery"))
+    return rows.sortWithinPartitions("event_date").select(*[column.alias(name) for name, column in columns.items()])
 
 
 def _session_dimensions(user: Column) -> Column:
@@ -209,10 +229,23 @@ def _session_dimensions(user: Column) -> Column:
     )
 
 
-def _hit() -> Column:
-    """The hit of one base row; session-dependent fields are filled in afterwards."""
-    event, name = F.col("event_id"), F.col("event_name")
-    items = F.col("items")
+def _narrow_hit() -> Column:
+    """What the hit of one base row is made of, in the order that hits of a session are sorted by."""
+    name = F.col("event_name")
+    return F.struct(
+        "us",
+        "event_id",
+        flags.hit_type(name).alias("type"),
+        F.when(flags.is_interaction(name), True).alias("isInteraction"),
+        flags.is_promotion_view(name).alias("promoIsView"),
+        flags.is_promotion_click(name).alias("promoIsClick"),
+        "items",
+    )
+
+
+def _hit(narrow: Column) -> dict[str, Column]:
+    """The fields of a hit that do not depend on its session."""
+    event, items = narrow["event_id"], narrow["items"]
 
     def numbered(field: str) -> Column:
         return _text(f"{field}_", event % 6).alias(field)
@@ -246,24 +279,20 @@ def _hit() -> Column:
             i["item_category"].alias("v2ProductCategory"),
         ),
     )
-    return F.struct(
-        "us",
-        "event_id",
-        flags.hit_type(name).alias("type"),
-        F.when(flags.is_interaction(name), True).alias("isInteraction"),
-        F.struct(numbered("hostname"), numbered("pageTitle")).alias("page"),
-        F.struct(numbered("screenName")).alias("appInfo"),
-        F.struct(numbered("sourcePropertyTrackingId"), numbered("sourcePropertyDisplayName")).alias(
-            "sourcePropertyInfo"
+    return {
+        "type": narrow["type"],
+        "isInteraction": narrow["isInteraction"],
+        "page": F.struct(numbered("hostname"), numbered("pageTitle")),
+        "appInfo": F.struct(numbered("screenName")),
+        "sourcePropertyInfo": F.struct(numbered("sourcePropertyTrackingId"), numbered("sourcePropertyDisplayName")),
+        "eventInfo": F.struct(numbered("eventCategory"), numbered("eventAction"), numbered("eventLabel")),
+        "promotionActionInfo": F.struct(
+            narrow["promoIsView"].alias("promoIsView"), narrow["promoIsClick"].alias("promoIsClick")
         ),
-        F.struct(numbered("eventCategory"), numbered("eventAction"), numbered("eventLabel")).alias("eventInfo"),
-        F.struct(
-            flags.is_promotion_view(name).alias("promoIsView"), flags.is_promotion_click(name).alias("promoIsClick")
-        ).alias("promotionActionInfo"),
-        promotion.alias("promotion"),
-        product.alias("product"),
-        dimensions.alias("customDimensions"),
-    )
+        "promotion": promotion,
+        "product": product,
+        "customDimensions": dimensions,
+    }
 
 
 def derive_ua_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,7 +303,7 @@ def derive_ua_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _base(spark, sf_dir)
         .groupBy("user_id", "bucket")
         .agg(
-            F.sort_array(F.collect_list(_hit())).alias("sorted"),
+            F.sort_array(F.collect_list(_narrow_hit())).alias("sorted"),
             F.min("event_date").alias("date"),
             F.min("us").alias("start"),
             F.expr("(max(us) - min(us)) div 1000000").alias("spent"),
@@ -283,10 +312,11 @@ def derive_ua_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
             views("screen_view").alias("screenviews"),
             F.max(F.when(F.col("event_type") == "signup", F.lit(1).cast("long"))).alias("newVisits"),
         )
+        .hint("rebalance", "date")
+        .sortWithinPartitions("date")
     )
     user, bucket = F.col("user_id"), F.col("bucket")
     traffic = _traffic((user + bucket) % 23)
-    copied = [f.name for f in UA_SESSIONS["hits"].dataType.elementType if f.name not in ("hitNumber", "time", "isExit")]
     # `order` is the zero-based position of the hit.
     hits = F.transform(
         "sorted",
@@ -294,7 +324,7 @@ def derive_ua_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
             (order + 1).cast("long").alias("hitNumber"),
             F.floor((hit["us"] - F.col("start")) / 1000).cast("long").alias("time"),
             (order + 1 == F.col("hit_count")).alias("isExit"),
-            *[hit[name].alias(name) for name in copied],
+            *[column.alias(name) for name, column in _hit(hit).items()],
         ),
     )
     columns = {
@@ -353,7 +383,9 @@ def write_once(spark: SparkSession, sf_dir: str, table: str, write) -> str:
 
 
 def _write_by_day(rows: DataFrame, day_column: str, path: str) -> None:
-    rows.hint("rebalance", day_column).write.mode("overwrite").partitionBy(day_column).parquet(path)
+    """Write rows that are dealt out and sorted by day already."""
+    with marts.partitions_of(rows.sparkSession, BYTES_PER_FILE):
+        rows.write.mode("overwrite").partitionBy(day_column).parquet(path)
 
 
 def ga4_path(spark: SparkSession, sf_dir: str) -> str:

@@ -21,7 +21,7 @@ _REST = 0.2
 
 
 @contextmanager
-def _partitions_of(spark: SparkSession, size: int) -> Iterator[None]:
+def partitions_of(spark: SparkSession, size: int) -> Iterator[None]:
     """Let AQE aim at partitions of ``size`` bytes, for the queries started inside."""
     before = spark.conf.get(_ADVISORY, None)
     spark.conf.set(_ADVISORY, f"{size}b")
@@ -43,7 +43,7 @@ def export_csv(mart: DataFrame, path: str, rows_per_file: int = 0, bytes_per_fil
     smaller still.  Few large partitions are divided by it and many small ones merged.
     """
     if bytes_per_file:
-        with _partitions_of(mart.sparkSession, max(1, int(bytes_per_file / (1 + _REST)))):
+        with partitions_of(mart.sparkSession, max(1, int(bytes_per_file / (1 + _REST)))):
             return export_csv(mart.hint("rebalance"), path, rows_per_file)
     (
         mart.write.mode("overwrite")
