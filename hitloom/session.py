@@ -14,6 +14,9 @@ RUNTIME_SETTINGS = {
     # partition of the join is skewed, this lets AQE split it anyway and add a shuffle behind the
     # partial deduplication; without skew no shuffle is added.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Exports and shuffled events grow many times when they are unpacked; these bound the rows of a task.
+    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     # The JVM does not compile methods above 8000 bytes.  A mart projects dozens of lookups at once;
     # beyond this limit Spark generates them as many small methods instead of one that stays
     # interpreted (measured: seven times faster).

@@ -180,3 +180,13 @@ def test_skewed_rows_are_split_by_aqe(spark):
 def test_keys_filter_first(spark):
     frame = events_frame(spark, event(1, "a", visitor=None), event(1, "a"))
     assert with_visits(frame).count() == 1
+
+
+@pytest.mark.parametrize("name", ["visits_basic", "visits_attributed"])
+def test_bags_are_not_sorted(spark, tables, name):
+    """Spark sorts the input of an aggregate that holds texts: it must be the values wanted, not whole bags."""
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = MARTS[name](tables[0])._jdf.queryExecution().explainString(mode)
+    sorted_columns = re.findall(r"\(\d+\) Sort\s*\nInput \[\d+\]: \[(.*)\]", text)
+    assert sorted_columns
+    assert not any("event_params#" in columns for columns in sorted_columns)
