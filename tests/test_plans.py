@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hitloom.operators import hit_numbers
 from hitloom.operators.visit_keys import with_visits
 from hitloom.plans import hits, products, sessions, visits
+from hitloom.session import RUNTIME_SETTINGS
 from hitloom.sources import exports
 from tests.builders import event, events_frame, item, session, hit, sessions_frame
 
@@ -190,3 +191,13 @@ def test_bags_are_not_sorted(spark, tables, name):
     sorted_columns = re.findall(r"\(\d+\) Sort\s*\nInput \[\d+\]: \[(.*)\]", text)
     assert sorted_columns
     assert not any("event_params#" in columns for columns in sorted_columns)
+
+
+def test_tasks_take_bounded_bytes(spark):
+    """Packed exports and shuffles grow many times in memory; Spark's 128 MB and 64 MB are too much of them."""
+    megabytes = {
+        name: int(RUNTIME_SETTINGS[name].removesuffix("m"))
+        for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    }
+    assert max(megabytes.values()) <= 32
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == RUNTIME_SETTINGS["spark.sql.files.maxPartitionBytes"]
