@@ -115,11 +115,14 @@ def identities(kind: str, value: str) -> set[int]:
     return {entity(kind, value), *(xxhash.xxh64_intdigest(text) - (1 << 63) for text in general)}
 
 
-BASE = "doc_id long, text_hash long, n_email long, n_ip long, n_card long, n_phone long, base string, entities array<long>"
+BASE = (
+    "doc_id long, text_hash long, n_email long, n_ip long, n_card long, n_phone long, base string, entities array<long>, "
+    "text string"
+)
 
 
 def base_table(docs: DataFrame) -> DataFrame:
-    """Per row: the base spans, their counts and identities."""
+    """Per row: the base spans, their counts and identities, and the text if it has any: later steps need no other."""
     ship_code(docs.sparkSession)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,10 +133,11 @@ def base_table(docs: DataFrame) -> DataFrame:
                 text = text.as_py() or ""
                 spans = base_spans(text)
                 kinds = [s[0] for s in spans]
-                rows.append((*[kinds.count(k) for k in BASE_KINDS], joined(spans), sorted(set().union(*(identities(k, text[a:b]) for k, a, b in spans)))))
-            columns = list(zip(*rows)) if rows else [[]] * 6
-            types = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.int64())]
-            names = ["doc_id", "text_hash", "n_email", "n_ip", "n_card", "n_phone", "base", "entities"]
+                held = sorted(set().union(*(identities(k, text[a:b]) for k, a, b in spans)))
+                rows.append((*[kinds.count(k) for k in BASE_KINDS], joined(spans), held, text if held else None))
+            columns = list(zip(*rows)) if rows else [[]] * 7
+            types = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.int64()), pa.string()]
+            names = ["doc_id", "text_hash", "n_email", "n_ip", "n_card", "n_phone", "base", "entities", "text"]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *[pa.array(c, t) for c, t in zip(columns, types)]], names=names
             )
@@ -172,16 +176,17 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, work: Workspace, settings
     most = bearing.agg(F.max("df_entity")).first()[0] or 0
     allowed = lambda df: F.pow(df, settings.generalise_at) * n ** (1 - settings.generalise_at)
     texts = bearing.select("text_hash").distinct()
-    bearers = docs.select("text", F.xxhash64("text").alias("text_hash")).join(texts, "text_hash", "left_semi")
+    bearers = base.where(F.col("text").isNotNull()).select("text_hash", "text").join(texts, "text_hash", "left_semi")
     own = bearers.dropDuplicates(["text_hash"]).select("text_hash", F.explode(_terms(F.col("text"))).alias("term"))
     own = work.keep(own.where(F.col("term") != ""), "own")
     wanted = work.keep(own.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= 2).select("term"), "wanted")
+    # Counted before the join, so that a task hands on each of its terms once.
     counts = (
         docs.select(F.explode(_terms(F.col("text"))).alias("term"))
-        .join(wanted, "term", "left_semi")
         .groupBy("term")
         .agg(F.count("*").alias("df_term"))
         .where(F.col("df_term") <= allowed(F.lit(float(most))))
+        .join(wanted, "term", "left_semi")
     )
     # Both occur together at most as often as the identity, which rules out frequent terms beforehand.
     together = work.keep(own.join(counts, "term"), "counted").join(bearing, "text_hash")
@@ -232,7 +237,7 @@ def find_spans(docs: DataFrame, settings: Disclosure = Disclosure()) -> DataFram
     terms = work.keep(
         disclosed.groupBy("text_hash").agg(F.collect_list(F.struct("term", "part")).alias("terms")), "disclosed"
     )
-    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").join(terms, "text_hash")
+    texts = base.where(F.col("text").isNotNull()).select("text_hash", "text").join(terms, "text_hash")
     remove_at = settings.remove_at
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -122,3 +122,9 @@ def test_estimates_equal_brute_force(spark):
     assert [found[i] for i in range(len(texts))] == expected
     kinds = Counter(span.split(":")[0] for spans in expected for span in spans.split(","))
     assert kinds["generalise"] > 5 and kinds["remove"] > 0
+
+
+def test_only_texts_with_identities_are_kept_for_later_steps(spark):
+    texts = ["mail jo@a.org", "no data", None, "", "call 10.0.0.1 or 300.0.0.1"]
+    kept = {r["doc_id"]: r["text"] for r in d.base_table(frame(spark, texts)).collect()}
+    assert kept == {0: texts[0], 1: None, 2: None, 3: None, 4: texts[4]}
