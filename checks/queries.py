@@ -199,7 +199,10 @@ def mart_day_emptied(spark, sf_dir):
 
 
 def _promotion_days(spark, sf_dir, table, rebuilt):
-    mart = sessions.promotions(exports.ua(spark, sf_dir))
+    """The mart is built once, into a table from which all days are written."""
+    built = sessions.promotions(exports.ua(spark, sf_dir))
+    made = exports.write_once(spark, sf_dir, "promotions_built", lambda path: built.write.mode("overwrite").parquet(path))
+    mart = spark.read.schema(built.schema).parquet(made)
 
     def write(path):
         marts.write_mart(mart.withColumn("promoName", F.lit("before")), path, DAY)

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import exports
+from checks.queries import all_queries
+from hitloom.sources import marts
 
 WIDE = {"ga4": ("event_params", "user_properties"), "ua": ("customDimensions", "hits")}
 
@@ -55,3 +57,17 @@ def test_derived_rows(spark, tables):
     assert hits.count() == 14
     assert hits.where("size(promotion) = size(product)").count() == hits.where("promotion is not null").count()
     assert {row["hitNumber"] for row in hits.collect()} == {1, 2, 3, 4, 5}
+
+
+@pytest.mark.parametrize("query, rows", [("mart_day_overwrite", 2), ("mart_day_emptied", 1)])
+def test_promotion_days_are_written_from_one_built_mart(spark, tables, monkeypatch, query, rows):
+    plans, write = [], marts.write_mart
+
+    def recorded(mart, *place):
+        plans.append(mart._jdf.queryExecution().executedPlan().toString())
+        return write(mart, *place)
+
+    monkeypatch.setattr(marts, "write_mart", recorded)
+    written = all_queries()[query](spark, tables)
+    assert len(plans) == 3 and not any("Exchange" in plan or "Generate" in plan for plan in plans)
+    assert {n for (n,) in written.groupBy(*written.columns[:-1]).count().where("promoName is null or promoName != 'before'").select("count").collect()} == {rows}
