@@ -483,7 +483,8 @@ def components(docs: DataFrame, like: Similarity) -> DataFrame:
     chosen = described.where("n > 0").join(regions, "point").groupBy("point", "region").agg(row).select("point", "region", "row.*")
     texts = docs.select(*_row_key(), "text").join(chosen, ["doc_id", "text_hash"])
     meetings = members.select("region", "point")
-    members = texts.select("region", "point", "text").dropDuplicates(["region", "point"])
+    # Only equal rows repeat here, and these meet by the join: no second shuffle of the texts.
+    members = texts.dropDuplicates(["doc_id", "text_hash", "region", "point"]).select("region", "point", "text")
     members = work.keep(members, "texts")
     large = work.keep(_large_regions(members), "large")
     if not large.isEmpty():

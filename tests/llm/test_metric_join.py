@@ -103,3 +103,23 @@ def test_one_of_each_repeated_rows_missing_ids_and_empty_table(spark):
     kept = metric_join.one_of_each(docs, Similarity(5, 80))
     assert kept.columns == docs.columns and sorted((r["doc_id"], r["lang"]) for r in kept.collect()) == [(3, "a"), (4, "b"), (5, "c"), (6, "d")]
     assert metric_join.components(docs.where("false"), Similarity(5, 80)).count() == 0
+
+
+def test_texts_are_shuffled_once(spark, monkeypatch):
+    plans, keep = {}, metric_join.Workspace.keep
+
+    def recorded(work, rows, name):
+        plans[name] = rows._jdf.queryExecution().executedPlan().toString()
+        return keep(work, rows, name)
+
+    monkeypatch.setattr(metric_join.Workspace, "keep", recorded)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = " ".join(f"w{i}" for i in range(60))
+        rows = [(1, text), (1, text), (2, text + " end"), (3, "other words here"), (None, text + " end")]
+        found = metric_join.components(spark.createDataFrame(rows, "doc_id long, text string"), Similarity(words=3, percent=90)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in found) == [(0, 1), (1, 1), (1, 1), (2, 1), (3, 3)]
+    assert "hashpartitioning(doc_id" in plans["texts"] and "hashpartitioning(region" not in plans["texts"]
