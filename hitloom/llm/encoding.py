@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +15,10 @@ import numpy as np
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 _LONGEST_CACHED = 64
 _LATIN_END = "\u0250"
+#: Up to this many ASCII marks behind letters are remembered; together they are one pre-token.
+_LONGEST_MARKS = 3
+#: Texts are learned from together up to so many characters.
+_TOGETHER = 1 << 20
 
 
 class _Unclean(Exception):
@@ -22,6 +28,37 @@ class _Unclean(Exception):
 _encoders: dict[str, "Encoder"] = {}
 
 
+def _byte_characters() -> dict[int, str]:
+    """The character that a byte-level BPE writes for each byte: its own if it can be seen."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [byte for byte in range(256) if byte not in seen]
+    return {byte: chr(byte) for byte in seen} | {byte: chr(256 + i) for i, byte in enumerate(hidden)}
+
+
+_BYTES = _byte_characters()
+
+
+def _merges_only(path: str):
+    """A tokenizer with the model of a byte-level BPE's file whose pre-tokens are lines of bytes, written as characters.
+
+    It spares the regular expression, where it is known what that does, and the library's cache.  None
+    if the file has rules beyond the merges.
+    """
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    model, cut = described["model"], described["pre_tokenizer"] or {}
+    more = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+    if not plain or described["normalizer"] or model.get("type") != "BPE" or any(model.get(rule) for rule in more):
+        return None
+    merges = [tuple(pair.split(" ") if isinstance(pair, str) else pair) for pair in model["merges"]]
+    found = Tokenizer(models.BPE(model["vocab"], merges, cache_capacity=0))
+    found.pre_tokenizer = pre_tokenizers.Split(_BYTES[ord("\n")], "isolated")
+    return found
+
+
 class Encoder:
     """Ids of texts, remembering the ids of words.
 
@@ -53,35 +90,61 @@ class Encoder:
         self._words: dict[str, bytes] = {}
 
         self._firsts: dict[str, bytes] = {}
-        self._marks = {mark: self._ids(mark) for mark in ",.\n"}
+        self._marks = {"\n": self._ids("\n")}
+        self._merges = _merges_only(path)
         self._seen: set[str] = set()
         self._chunks = 0
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _lines(self, words: list[str], before: str) -> list[bytes]:
-        """Ids of words without line ends: encoded as lines of one text, cut at the ids of the line ends."""
+    def _lines(self, words: list[str], before: str, letters: bool = False) -> list[bytes]:
+        """Ids of words without line ends: encoded as lines of one text, cut at the ids of the line ends.
+
+        Words of letters are pre-tokens as they are, with the blank before them.
+        """
         if not words:
             return []
         together = "\n" + "\n".join([before + word for word in words]) + "\n"
-        ids = self._tokenizer.encode_batch_fast([together], add_special_tokens=False)[0].ids
+        tokenizer = self._tokenizer
+        if letters and self._merges:
+            tokenizer, together = self._merges, together.encode().decode("latin-1").translate(_BYTES)
+        ids = tokenizer.encode_batch_fast([together], add_special_tokens=False)[0].ids
         ids = np.array(ids, self.dtype)
         cuts = np.flatnonzero(ids == np.frombuffer(self._marks["\n"], self.dtype)[0]) * self.dtype.itemsize
         coded, skip, cuts = ids.tobytes(), self.dtype.itemsize, cuts.tolist()
         return [coded[a + skip : b] for a, b in zip(cuts, cuts[1:])]
 
     def _remember(self, known: dict[str, bytes], words: set[str], before: str) -> None:
-        """Add words to ``known``; a comma or stop after letters is a pre-token of its own."""
-        marked = {w for w in words if w[-1] in ",." and w[:-1].isalpha() and max(w) < _LATIN_END}
-        plain = list((words - marked | {w[:-1] for w in marked}).difference(known))
-        known.update(zip(plain, self._lines(plain, before)))
-        known.update([(w, known[w[:-1]] + self._marks[w[-1]]) for w in marked])
-
-    def _learn(self, words: list[str], bordered: bool) -> None:
-        """Remember words that follow a blank."""
-        spaced, firsts, broken = set(), set(), []
+        """Add words to ``known``; letters, and the marks after them, are pre-tokens of their own."""
+        letters, others = set(), []
+        # Side by side, as a tuple for each word would keep the garbage collector busy.
+        marked, heads, marks = [], [], []
         for word in words:
+            if len(word) > _LONGEST_CACHED:
+                continue
+            head = word.rstrip(string.punctuation)
+            n = len(word) - len(head)
+            if n <= _LONGEST_MARKS and head.isalpha() and (head.isascii() or max(head) < _LATIN_END):
+                letters.add(head)
+                if n:
+                    marked.append(word)
+                    heads.append(head)
+                    marks.append(word[-n:])
+            else:
+                others.append(word)
+        letters = list(letters.difference(known))
+        known.update(zip(letters, self._lines(letters, before, letters=True)))
+        known.update(zip(others, self._lines(others, before)))
+        self._marks.update([(new, self._ids(new)) for new in set(marks).difference(self._marks)])
+        ids = map(bytes.__add__, map(known.__getitem__, heads), map(self._marks.__getitem__, marks))
+        known.update(zip(marked, ids))
+
+    def _learn(self, words: set[str], bordered: bool) -> None:
+        """Remember words that follow a blank."""
+        spaced = words.intersection(" ".join(words).split())  # those without white space
+        firsts, broken = set(), []
+        for word in words - spaced:
             if not word or word[0].isspace() or word[-1].isspace():
                 if bordered:  # the end of the text
                     continue
@@ -108,20 +171,29 @@ class Encoder:
         return self._coded([text or ""])[0]
 
     def encode_many(self, texts: list[str | None], together: int = 64) -> Iterator[np.ndarray]:
-        """The ids of each text; new words of ``together`` texts are learned at once."""
-        for at in range(0, len(texts), together):
-            yield from self._coded([text or "" for text in texts[at : at + together]])
+        """The ids of each text; new words of ``together`` texts at most are learned at once."""
+        held, characters = [], 0
+        for text in texts:
+            held.append(text or "")
+            characters += len(held[-1])
+            if len(held) == together or characters > _TOGETHER:
+                yield from self._coded(held)
+                held, characters = [], 0
+        yield from self._coded(held)
+
+    def _halves(self, texts: list[str]) -> list[np.ndarray]:
+        return self._coded(texts[: len(texts) // 2]) + self._coded(texts[len(texts) // 2 :])
 
     def _coded(self, texts: list[str]) -> list[np.ndarray]:
         if any(content in text for content in self._added for text in texts):
             if len(texts) > 1:
-                return [self._coded([text])[0] for text in texts]
+                return self._halves(texts)
             return [np.frombuffer(self._with_added(texts[0]), self.dtype)]
         try:
             coded = self._joined([text.split(" ") for text in texts])
         except _Unclean:
             if len(texts) > 1:
-                return [self._coded([text])[0] for text in texts]
+                return self._halves(texts)
             coded = self._joined([_BLANK.split(texts[0])], bordered=True)
         return [np.frombuffer(one, self.dtype) for one in coded]
 
@@ -157,7 +229,7 @@ class Encoder:
             self._seen = set()
             missing = distinct.difference(words)
         if missing:
-            self._learn(list(missing), bordered)
+            self._learn(missing, bordered)
         short = {w for w in firsts if w and len(w) <= _LONGEST_CACHED and not any(map(str.isspace, w))}
         self._remember(self._firsts, short.difference(self._firsts), "")
         try:

@@ -109,3 +109,21 @@ def test_special_tokens_have_the_ids_of_the_library(spark, tmp_path):
     rows = token_files.read_token_files(spark, str(tmp_path), 64).collect()
     crcs = {r["doc_id"]: r["ids_crc32"] for r in rows}
     assert crcs == {i: zlib.crc32(np.array([*expected(text), 2], "<u4").tobytes()) for i, text in enumerate(texts)}
+
+
+def test_words_that_differ_in_their_marks_are_encoded_once(monkeypatch):
+    """Only letters reach the library for them, without its regular expression; ids are the library's."""
+    library, sent = Tokenizer.from_file(PATH), []
+    lines = Encoder._lines
+    monkeypatch.setattr(Encoder, "_lines", lambda self, words, *more, **by: sent.extend(words) or lines(self, words, *more, **by))
+    texts = [
+        "so Straße straße!! straße,** straße### straße. (straße) don't straße's straße'",
+        "x\tstraße!! a straße ª² Ċstraße straßeĠ Éreai… éon&&&& straße\nstraße,\nstraße !! 12,, a12!! 日本語!! ſtraße?!",
+        "straße" * 11 + "!! straße -straße- ıstraße!! étra!! straße\x1c straße!!\x1cx",
+        "straße!! <|endoftext|>straße!!",
+    ]
+    coder = Encoder(PATH, special_tokens=True)
+    for text, ids in zip(texts, coder.encode_many(texts)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sent.count("straße") <= 2  # with and without a blank before it
+    assert not {"straße!!", "straße,**", "straße###"} & set(sent)
