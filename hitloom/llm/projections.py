@@ -34,6 +34,8 @@ from hitloom.llm.workspace import Workspace
 
 FOUND = "query_id long, vec_id long, score double"
 _CLOSE = 1e-9
+#: Pairs of a query and a point that are in memory at once.
+_AT_ONCE = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -152,7 +154,10 @@ class Space:
 
 
 def search_block(space: Space, ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarray, worst: np.ndarray):
-    """The best candidates of a block per query, as arrays of query, candidate and score, and the number verified."""
+    """The best candidates of a block per query, as arrays of query, candidate and score, and the number verified.
+
+    At each step every query visits its next leaf; the queries of all leaves go through numpy together.
+    """
     settings = space.settings
     points, asked = space.candidates(x)[:, : settings.tests], space.queries(q)[:, : settings.tests]
     tree_points = space.tree(space.candidates(x))
@@ -167,48 +172,79 @@ def search_block(space: Space, ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray
     nearest = np.argsort(distance, axis=1, kind="stable")
     q_norm, worst = (q**2).sum(axis=1), worst.copy()
     point_norm = (points**2).sum(axis=1)
-    held_ids = [np.empty(0, np.int64) for _ in q_ids]
-    held_scores = [np.empty(0) for _ in q_ids]
-    active, verified = np.arange(len(q_ids)), 0
+    k = settings.neighbours
+    # Per query its best so far, by falling score and rising id.
+    held_ids = np.zeros((len(q_ids), k), np.int64)
+    held_scores = np.zeros((len(q_ids), k))
+    taken = np.zeros((len(q_ids), k), bool)
+    # How much the products of a whole leaf may differ from those summed one by one.
+    slack = _CLOSE * np.sqrt(q_norm * (x**2).sum(axis=1).max())
+    longest = max(map(len, members))
+    listed = np.array([np.pad(own, (0, longest - len(own))) for own in members])
+    at_once = max(1, _AT_ONCE // longest)
+    verified = 0
+
+    def visit(rows: np.ndarray, leaves: np.ndarray) -> int:
+        """Each row's query meets the points of its leaf; rows are sorted by leaf."""
+        met_points = 0
+        apart, rough = np.full((len(rows), longest), np.inf), np.zeros((len(rows), longest))
+        different = np.flatnonzero(np.append(True, leaves[1:] != leaves[:-1]))
+        for a, b in zip(different, [*different[1:], len(rows)]):
+            own, mine = members[leaves[a]], rows[a:b]
+            far = point_norm[own] - 2 * (asked[mine] @ points[own].T) + (asked[mine] ** 2).sum(axis=1)[:, None]
+            apart[a:b, : len(own)], rough[a:b, : len(own)] = far, q[mine] @ x[own].T
+        order = np.argsort(apart, axis=1, kind="stable")
+        apart, rough = np.take_along_axis(apart, order, axis=1), np.take_along_axis(rough, order, axis=1)
+        # In parts of ascending projected distance, so that the neighbours met stop the test earlier.
+        at, width = 0, k
+        while at < longest and len(rows):
+            reach = space.point_bound * space.distance(q_norm[rows], worst[rows]) + _CLOSE
+            reach = np.minimum(reach, np.finfo(float).max)
+            part = slice(at, at + width)
+            met = apart[:, part] <= reach[:, None]
+            met_points += int(met.sum())
+            row, column = np.nonzero(met & (rough[:, part] >= (worst[rows] - slack[rows])[:, None]))
+            near, asking = listed[leaves[row], order[row, at + column]], rows[row]
+            # Summed in one order for all, so that equal vectors have equal scores.
+            exact = (x[near] * q[asking]).sum(axis=1)
+            good = (exact >= worst[asking]) & (ids[near] != q_ids[asking])
+            _keep_best(held_ids, held_scores, taken, asking[good], ids[near[good]], exact[good])
+            full = rows[taken[rows, -1]]
+            worst[full] = np.maximum(worst[full], held_scores[full, -1])
+            at, width = at + width, 2 * width
+            if at < longest:  # the next part is farther than all of this one
+                on = apart[:, at - 1] <= reach
+                rows, leaves, order, apart, rough = rows[on], leaves[on], order[on], apart[on], rough[on]
+        return met_points
+
+    active = np.arange(len(q_ids))
     for step in range(len(members)):
         now = nearest[active, step]
         open_still = distance[active, now] <= space.tree_bound * space.distance(q_norm[active], worst[active])
         active, now = active[open_still], now[open_still]
         if not len(active):
             break
-        for one in np.unique(now):
-            own, rows = members[one], active[now == one]
-            apart = point_norm[own] - 2 * (asked[rows] @ points[own].T) + (asked[rows] ** 2).sum(axis=1)[:, None]
-            for row, far in zip(rows, apart):
-                near = own[np.argsort(far, kind="stable")]
-                far = np.sort(far)
-                # In parts of ascending projected distance, so that the neighbours met stop the test earlier.
-                at, width = 0, settings.neighbours
-                while at < len(near):
-                    reach = space.point_bound * space.distance(q_norm[row], worst[row]) + _CLOSE
-                    end = min(at + width, int(np.searchsorted(far, reach, "right")))
-                    if end <= at:
-                        break
-                    part, at, width = near[at:end], end, 2 * width
-                    verified += len(part)
-                    part = part[ids[part] != q_ids[row]]
-                    # Summed in one order for all, so that equal vectors have equal scores.
-                    exact = (x[part] * q[row]).sum(axis=1)
-                    good = exact >= worst[row]
-                    all_ids = np.concatenate([held_ids[row], ids[part[good]]])
-                    all_scores = np.concatenate([held_scores[row], exact[good]])
-                    best = np.lexsort((all_ids, -all_scores))[: settings.neighbours]
-                    held_ids[row], held_scores[row] = all_ids[best], all_scores[best]
-                    if len(best) == settings.neighbours:
-                        worst[row] = max(worst[row], all_scores[best[-1]])
-    lengths = [len(h) for h in held_ids]
-    empty = np.empty(0, np.int64)
-    return (
-        np.repeat(q_ids, lengths),
-        np.concatenate([empty, *held_ids]),
-        np.concatenate([empty.astype(float), *held_scores]),
-        verified,
-    )
+        by_leaf = np.argsort(now, kind="stable")
+        active, now = active[by_leaf], now[by_leaf]
+        for at in range(0, len(active), at_once):
+            verified += visit(active[at : at + at_once], now[at : at + at_once])
+    return np.repeat(q_ids, taken.sum(axis=1)), held_ids[taken], held_scores[taken], verified
+
+
+def _keep_best(ids: np.ndarray, scores: np.ndarray, taken: np.ndarray, rows: np.ndarray, new_ids: np.ndarray, new_scores: np.ndarray):
+    """Merge new candidates of some rows into the best of each row, in place."""
+    k = ids.shape[1]
+    own = np.unique(rows)
+    old = np.nonzero(taken[own])
+    at = np.concatenate([own[old[0]], rows])
+    all_ids = np.concatenate([ids[own][old], new_ids])
+    all_scores = np.concatenate([scores[own][old], new_scores])
+    order = np.lexsort((all_ids, -all_scores, at))
+    at, all_ids, all_scores = at[order], all_ids[order], all_scores[order]
+    place = np.arange(len(at)) - np.searchsorted(at, at)
+    kept = place < k
+    at, place = at[kept], place[kept]
+    ids[at, place], scores[at, place], taken[at, place] = all_ids[kept], all_scores[kept], True
 
 
 def _usable(vector: Column) -> Column:

@@ -101,3 +101,22 @@ def test_the_point_test_spares_verifications():
         score[i] = -np.inf
         hits += len(set(np.argsort(-score)[:10]) & set(found[q_ids == i]))
     assert hits >= 0.9 * 500 and verified < 0.5 * 2000 * 50
+
+
+def test_the_queries_of_a_step_are_searched_together(monkeypatch):
+    """The number of merges depends on the leaves, not on the queries."""
+    pick = np.random.default_rng(6)
+    x = pick.standard_normal((1000, 16))
+    settings = projections.SearchSettings(neighbours=10, leaf=64)
+    space = projections.Space(16, float((x**2).sum(axis=1).max()), settings)
+    merges, lexsort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: merges.append(1) or lexsort(keys))
+    found = {}
+    for n in (20, 200):
+        merges.clear()
+        asked = np.arange(n)
+        q_ids, ids, scores, _ = projections.search_block(space, np.arange(1000), x, asked, x[asked], np.full(n, -np.inf))
+        assert 0 < len(merges) <= 16 * 3  # leaves, parts of a leaf
+        assert (scores == (x[ids] * x[q_ids]).sum(axis=1)).all() and (np.bincount(q_ids) == 10).all()
+        found[n] = set(zip(q_ids[q_ids < 20].tolist(), ids[q_ids < 20].tolist()))
+    assert found[20] == found[200]
