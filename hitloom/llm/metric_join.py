@@ -115,6 +115,23 @@ def _row_key() -> list:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_hash")]
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs: they travel once for every region of their point."""
+    most = counts.max()
+    return counts.astype("u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<i4").tobytes()
+
+
+def unpacked(column: pa.ChunkedArray, parts: int) -> np.ndarray:
+    """The counts that ``packed`` packed, in ``parts`` parts, a row each."""
+    rows = column.to_pylist()
+    sizes = np.array([len(row) for row in rows], np.int64)
+    counts = np.empty((len(rows), parts), np.int32)
+    for kind in ("u1", "<u2", "<i4"):
+        those = np.flatnonzero(sizes == parts * np.dtype(kind).itemsize)
+        counts[those] = np.frombuffer(b"".join([rows[i] for i in those]), kind).reshape(-1, parts)
+    return counts
+
+
 def points(docs: DataFrame, like: Similarity) -> DataFrame:
     """Per row its set's identity, size and counts; now and then, shingles that were common of late."""
     ship_code(docs.sparkSession)
@@ -124,7 +141,7 @@ def points(docs: DataFrame, like: Similarity) -> DataFrame:
             out, seen = [], []
             for shingles in shingle_sets(batch.column(2), like.words):
                 bins = np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=BINS)
-                out.append((point_of(shingles), len(shingles), bins.astype("<i4").tobytes(), None, None))
+                out.append((point_of(shingles), len(shingles), packed(bins), None, None))
                 seen.append(shingles)
             if out:
                 values, counts = np.unique(np.concatenate(seen), return_counts=True)
@@ -376,13 +393,13 @@ def _join_regions(
     return links.unionByName(found).unionByName(more)
 
 
-def _near(like: Similarity, counts: str) -> tuple[Callable, Callable]:
-    """Joins of a region, and of two blocks of one, by the contraction: columns ``n`` and ``bins``."""
+def _near(like: Similarity, parts: int) -> tuple[Callable, Callable]:
+    """Joins of a region, and of two blocks of one, by the contraction: columns ``n`` and ``bins`` of ``parts`` counts."""
 
     def read(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        n = table.column("n").to_numpy()
-        bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), counts).reshape(len(n), -1)
-        return n, bins.astype(np.int16) if bins.dtype.itemsize == 1 else bins
+        bins = unpacked(table.column("bins"), parts)
+        # Finer counts are 255 at most, all of a block are held at once.
+        return table.column("n").to_numpy(), bins.astype(np.int16) if parts > BINS else bins
 
     def near(table: pa.Table) -> list[tuple[int, int]]:
         n, bins = read(table)
@@ -434,7 +451,7 @@ def _divided(members: DataFrame, large: DataFrame, meetings: DataFrame, like: Si
     again = work.keep(meetings.join(fine, "point"), "fine-members")
     sizes = again.groupBy("region").agg(F.count("*").alias("n"))
     many = work.keep(sizes.where(F.col("n") > REGION_POINTS).select("region"), "fine-many")
-    close = _join_regions(again, ["n", "bins"], many, *_near(like, "u1"), work, "fine")
+    close = _join_regions(again, ["n", "bins"], many, *_near(like, FINE_BINS), work, "fine")
     parts = connected_components(close, work, "fine-regions")
     parts = parts.select(F.col("node").alias("point"), F.col("component").alias("region"))
     others = members.join(large, "region", "left_anti")
@@ -473,7 +490,7 @@ def components(docs: DataFrame, like: Similarity) -> DataFrame:
     members = work.keep(members, "members")
 
     large = kept.where(F.col("size") > 2 * REGION_POINTS).select("region")
-    close = _join_regions(members, ["n", "bins"], large, *_near(like, "<i4"), work, "near")
+    close = _join_regions(members, ["n", "bins"], large, *_near(like, BINS), work, "near")
     regions = work.keep(
         connected_components(close, work, "regions").select(F.col("node").alias("point"), F.col("component").alias("region")), "regions"
     )

@@ -4,6 +4,8 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from hitloom.llm import metric_join
@@ -123,3 +125,14 @@ def test_texts_are_shuffled_once(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in found) == [(0, 1), (1, 1), (1, 1), (2, 1), (3, 3)]
     assert "hashpartitioning(doc_id" in plans["texts"] and "hashpartitioning(region" not in plans["texts"]
+
+
+def test_counts_travel_in_as_few_bytes_as_they_need(spark):
+    """A point's counts go to all its regions: 64 bytes for an ordinary text, not 256; large counts are kept."""
+    counts = [np.full(64, 3), np.arange(64) * 5, np.arange(64) * 900, np.arange(64) * 70_000, np.zeros(64, int)]
+    coded = [metric_join.packed(own) for own in counts]
+    assert [len(own) for own in coded] == [64, 128, 128, 256, 64]
+    assert (metric_join.unpacked(pa.chunked_array([pa.array(coded, pa.binary())]), 64) == np.array(counts)).all()
+    docs = spark.createDataFrame([(1, " ".join(map(str, range(5000)))), (2, "a b c d"), (3, None)], "doc_id long, text string")
+    found = metric_join.points(docs, Similarity(words=3, percent=90)).collect()
+    assert {len(row["bins"]) for row in found} == {64}
