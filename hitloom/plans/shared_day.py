@@ -35,12 +35,14 @@ def numbered_hits(events: DataFrame) -> DataFrame:
 
     Events that differ in their items only by order are one hit; ``item_arrays`` holds each variant.
     The first day with items is that of the visit.  The export is scanned twice: once for the narrow
-    keys, once for the rows.
+    keys, once for the rows.  Texts made of the items follow the join, so that items are shuffled once.
     """
     visited = with_visits(events)
-    columns = {name: column.alias(name) for name, column in hit_plan.event_columns().items()}
-    rows = visited.select("visitId", hit_key().alias(HIT_KEY), "fullVisitorId", *columns.values(), "items")
+    columns = hit_plan.event_columns()
+    own = [column.alias(name) for name, column in columns.items() if name not in hit_plan.ITEM_TEXTS]
+    rows = visited.select("visitId", hit_key().alias(HIT_KEY), "fullVisitorId", *own, "items")
     joined = with_hits(rows, hit_table(visited, date_5=item_plan.item_date()))
+    joined = joined.withColumns({name: columns[name] for name in hit_plan.ITEM_TEXTS})
     keys = ["visitId", HIT_KEY, "fullVisitorId", *columns, *VISIT_VALUES]
     return joined.groupBy(*keys).agg(F.collect_set("items").alias(ITEM_ARRAYS))
 

@@ -67,6 +67,18 @@ def test_the_export_is_scanned_twice_and_rows_are_shuffled_once(spark, events, t
     assert not wide  # grouped by all columns on the partitioning of the join
 
 
+def test_texts_made_of_items_are_not_shuffled(spark, events):
+    """They are computed above the join; its shuffle carries the items alone."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        tree = shared_day.numbered_hits(events)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    above, _, below = tree.partition("Join LeftOuter")
+    assert "AS page_name_17#" in below
+    assert all(f"AS {name}#" in above and f"AS {name}#" not in below for name in hits.ITEM_TEXTS)
+
+
 def test_an_empty_day(events):
     none = shared_day.numbered_hits(events.limit(0))
     assert [mart(none).count() for mart in (shared_day.hits, shared_day.products, shared_day.promotions)] == [0, 0, 0]
